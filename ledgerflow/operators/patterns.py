@@ -25,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def scalar(df: DataFrame, expr: Column) -> Column:
     """A one-value aggregate of ``df`` usable inside another frame's expressions."""
@@ -61,6 +63,7 @@ def distributed_row_number(df: DataFrame, order: list[Column], name: str = "row_
     re-sample them.
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("__mid", F.monotonically_increasing_id()))
