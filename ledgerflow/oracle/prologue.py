@@ -283,3 +283,9 @@ def with_prologue(sql: str) -> str:
     if body[:4].upper() == "WITH":
         return PROLOGUE + ",\n" + body[4:]
     return PROLOGUE + "\n" + body
+
+
+def rnd(expr: str, n: int = 2) -> str:
+    """ROUND(x, n) in the oracle with decimal half-up semantics on the
+    shortest decimal form of a double (what Spark's round does)."""
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
