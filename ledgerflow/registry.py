@@ -14,7 +14,7 @@ from .oracle.prologue import with_prologue
 from .sources.adapter import AS_OF, ErpTables
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_ORACLE: dict[str, str] = {}
+_ORACLE: dict[str, str | Callable[[], str]] = {}
 _TABLES: dict[tuple, ErpTables] = {}
 
 
@@ -38,7 +38,7 @@ def register(name: str, oracle: str | None = None, raw: bool = False):
         else:
             _QUERIES[name] = lambda spark, sf_dir, _fn=fn: _fn(tables(spark, sf_dir), AS_OF)
         if oracle is not None:
-            _ORACLE[name] = with_prologue(oracle)
+            _ORACLE[name] = oracle
         return fn
     return deco
 
@@ -46,7 +46,7 @@ def register(name: str, oracle: str | None = None, raw: bool = False):
 def _load_all() -> None:
     # importing the plan modules fills the registry
     from .plans import (analytic, commerce, documented, extensions, governance, ledger, meta,  # noqa: F401
-                        parties)
+                        parties, views)
     from .streaming import stream, sync  # noqa: F401
 
 
@@ -55,6 +55,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
+def raw_oracle(name: str) -> str:
+    """Oracle SQL of a key without the adapter prologue; ``{KEY:other}``
+    placeholders are replaced by the SQL of another key (as a subquery)."""
+    sql = _ORACLE[name]
+    sql = sql() if callable(sql) else sql
+    while "{KEY:" in sql:
+        start = sql.index("{KEY:")
+        end = sql.index("}", start)
+        sql = sql[:start] + raw_oracle(sql[start + 5:end]).strip().rstrip(";") + sql[end + 1:]
+    return sql
+
+
 def oracle_sql() -> dict[str, str]:
     _load_all()
-    return dict(_ORACLE)
+    return {k: with_prologue(raw_oracle(k)) for k in _ORACLE}

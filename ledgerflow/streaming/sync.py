@@ -1 +1,503 @@
-"""placeholder"""
+"""Incremental extraction, as batch DataFrame programs.
+
+The reference polls each view with an integer change cursor (not an
+event-time watermark): rows with cursor > c, ascending, at most 5 000 per
+page; it uploads them in chunks of 5 000 and then stores the new cursor.
+Here every step is a DataFrame; state lives in append-only tables read back
+with ``max_by`` (no MERGE on plain Parquet).
+
+Sync inputs for the tests come from the ``events`` table: cursor = event_id
+(with ties: event_id - event_id % 3), view = event_type, agent = user_id,
+batch time = ts, row count = props.k.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..operators.patterns import distributed_row_number, scalar
+from ..registry import register
+
+# Fixed values of the reference: rows per page / per ingest call, default
+# interval (minutes) of a view without configuration.
+PAGE_SIZE = 5000
+DEFAULT_INTERVAL_MIN = 60
+# view -> (interval minutes, mode) of the reference agent
+VIEW_CONFIG = {
+    "VW_KPI_SYNTESE": (5, "FULL"), "VW_METADATA_AGENT": (5, "FULL"),
+    "VW_GRAND_LIVRE_GENERAL": (15, "INCREMENTAL"), "VW_CLIENTS": (15, "INCREMENTAL"),
+    "VW_FOURNISSEURS": (15, "INCREMENTAL"), "VW_TRESORERIE": (15, "INCREMENTAL"),
+    "VW_COMMANDES": (30, "INCREMENTAL"), "VW_ANALYTIQUE": (30, "INCREMENTAL"),
+    "VW_STOCKS": (60, "INCREMENTAL"), "VW_FINANCE_GENERAL": (60, "INCREMENTAL"),
+    "VW_IMMOBILISATIONS": (360, "FULL"), "VW_PAIE": (360, "FULL"),
+}
+
+# Test configuration for the event-driven sync inputs (views = event types).
+EVENT_VIEW_INTERVALS = {"click": 15, "error": 5, "purchase": 30, "signup": 60, "refund": 360}
+EVENT_REMOTE_INTERVALS = {"purchase": 10}
+HEARTBEAT_LIMIT = "12 hours"
+HEARTBEAT_LIMIT_SECONDS = 12 * 3600
+
+
+# --------------------------------------------------------------------------- I2
+
+def resolve_cursor_column(df: DataFrame) -> str | None:
+    """Cursor column of a view: 'watermark_sync' (any case) first, then
+    'cbmarq'; None means the view can only be read in FULL mode."""
+    by_lower = {c.lower(): c for c in df.columns}
+    return by_lower.get("watermark_sync") or by_lower.get("cbmarq")
+
+
+def effective_mode(df: DataFrame, configured: str) -> str:
+    return "INCREMENTAL" if configured == "INCREMENTAL" and resolve_cursor_column(df) else "FULL"
+
+
+# --------------------------------------------------------------------------- I1
+
+def cursor_page(view: DataFrame, cursor: int | Column, size: int = PAGE_SIZE,
+                cursor_col: str | None = None) -> DataFrame:
+    """Rows with cursor > c in ascending cursor order, at most ``size``.
+
+    The filter is applied to the finished view (never to its inputs), so
+    whole-set windows inside the view are not changed by paging.  orderBy +
+    limit runs as a bounded top-k (TakeOrderedAndProject)."""
+    col = cursor_col or resolve_cursor_column(view)
+    if col is None:
+        return view  # FULL mode: everything
+    c = cursor if isinstance(cursor, Column) else F.lit(cursor)
+    return view.filter(F.col(col) > c).orderBy(F.col(col).asc()).limit(size)
+
+
+def cursor_page_tie_safe(view: DataFrame, cursor: int | Column, size: int = PAGE_SIZE,
+                         cursor_col: str | None = None) -> DataFrame:
+    """Like ``cursor_page`` but never splits a group of equal cursor values:
+    with v the ``size``-th cursor value after c, returns every row with
+    c < cursor <= v (a page may then hold a few more than ``size`` rows).
+    A strict '>' plus TOP loses the rest of a tie group at the page border."""
+    col = cursor_col or resolve_cursor_column(view)
+    c = cursor if isinstance(cursor, Column) else F.lit(cursor)
+    after = view.filter(F.col(col) > c)
+    border = scalar(after.select(col).orderBy(F.col(col).asc()).limit(size), F.max(col))
+    return after.filter(F.col(col) <= border)
+
+
+# --------------------------------------------------------------------------- I3
+
+def normalize_records(df: DataFrame) -> DataFrame:
+    """JSON-safe records: dates and timestamps -> ISO-8601 UTC with
+    milliseconds, binary -> lower-case hex, everything else unchanged
+    (64-bit integers stay exact longs instead of lossy doubles)."""
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        c = F.col(f"`{f.name}`")
+        if t in ("date", "timestamp", "timestamp_ntz"):
+            ts = c.cast("timestamp_ntz") if t != "timestamp" else c
+            c = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        elif t == "binary":
+            c = F.lower(F.hex(c))
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
+# --------------------------------------------------------------------------- I4
+
+def chunk_envelopes(rows: DataFrame, order: list[Column], view_name: str, mode: str, cursor_min: int,
+                    cursor_max: int | Column | None, schema_version: str = "unknown",
+                    size: int = PAGE_SIZE) -> tuple[DataFrame, DataFrame]:
+    """Split a record set into ingest chunks of ``size`` rows.
+
+    Returns (rows with chunk_index, one envelope row per chunk).  The chunk
+    index comes from a distributed row number (no single-partition window).
+    cursor_max is only set on the last chunk (NULL on the others)."""
+    ranked = distributed_row_number(rows, order, "__rn")
+    ranked = ranked.withColumn("chunk_index", F.floor((F.col("__rn") - 1) / size).cast("long"))
+    n_chunks = scalar(ranked, F.max("chunk_index"))
+    cmax = cursor_max if isinstance(cursor_max, Column) else F.lit(cursor_max)
+    env = ranked.groupBy("chunk_index").agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(view_name).alias("view_name"), F.lit(mode).alias("sync_mode"), "chunk_index",
+        F.lit(cursor_min).cast("long").alias("watermark_min"),
+        F.when(F.col("chunk_index") == n_chunks, cmax.cast("long")).alias("watermark_max"),
+        "row_count", F.lit(schema_version).alias("schema_version"))
+    return ranked.drop("__rn"), env
+
+
+def to_payload(rows: DataFrame, envelopes: DataFrame) -> DataFrame:
+    """One JSON document per chunk (the ingest body), built on the executors."""
+    body = rows.groupBy("chunk_index").agg(
+        F.collect_list(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "chunk_index"])).alias("rows"))
+    return envelopes.join(body, "chunk_index").select(
+        "view_name", "chunk_index",
+        F.to_json(F.struct("view_name", "sync_mode", "watermark_min", "watermark_max", "row_count",
+                           "schema_version", "rows")).alias("payload"))
+
+
+# --------------------------------------------------------------------------- sync log
+
+def sync_batches(t) -> DataFrame:
+    """The batch history derived from ``events`` (one row per ingest batch)."""
+    ev = t.src.events
+    return ev.select(
+        F.col("event_id").alias("batch_id"), F.col("user_id").alias("agent_id"),
+        F.col("event_type").alias("view_name"), F.col("ts").alias("received_at"),
+        F.get_json_object("props", "$.k").cast("int").alias("row_count"),
+        (F.col("event_id") - F.col("event_id") % 3).alias("cursor"),
+        F.when(F.col("event_type") == "error", "error").otherwise("ok").alias("status"))
+
+
+BATCHES_SQL = """
+batches AS (
+    SELECT event_id AS batch_id, user_id AS agent_id, event_type AS view_name, ts AS received_at,
+        CAST(json_extract_string(props, '$.k') AS INTEGER) AS row_count,
+        event_id - event_id % 3 AS cursor,
+        CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status
+    FROM events
+)"""
+
+
+def _events_source(t) -> DataFrame:
+    """The events table seen as a sync source whose cursor has ties."""
+    ev = t.src.events
+    return ev.withColumn("watermark_sync", F.col("event_id") - F.col("event_id") % 3)
+
+
+# --------------------------------------------------------------------------- keys
+
+@register("cursor_page", """
+WITH gl AS (SELECT * FROM (""" + "{KEY:general_ledger}" + """)),
+p1 AS (SELECT watermark_sync FROM gl WHERE watermark_sync > 0 ORDER BY watermark_sync LIMIT 5000)
+SELECT * FROM gl WHERE watermark_sync > (SELECT max(watermark_sync) FROM p1)
+ORDER BY watermark_sync LIMIT 5000
+""")
+def cursor_page_key(t, as_of: str) -> DataFrame:
+    """Second page of the general ledger: cursor = last value of page 1."""
+    from ..plans.ledger import general_ledger
+    gl = general_ledger(t, as_of)
+    first = cursor_page(gl, 0)
+    return cursor_page(gl, scalar(first, F.max("watermark_sync")))
+
+
+@register("cursor_page_tie_safe", """
+WITH src AS (SELECT *, event_id - event_id % 3 AS watermark_sync FROM events),
+border AS (SELECT max(watermark_sync) AS v FROM
+           (SELECT watermark_sync FROM src WHERE watermark_sync > 0 ORDER BY watermark_sync LIMIT 5000))
+SELECT * FROM src WHERE watermark_sync > 0 AND watermark_sync <= (SELECT v FROM border)
+""")
+def cursor_page_tie_safe_key(t, as_of: str) -> DataFrame:
+    return cursor_page_tie_safe(_events_source(t), 0)
+
+
+@register("full_mode_scan", "{KEY:client_receivables}")
+def full_mode_scan(t, as_of: str) -> DataFrame:
+    """A view without a cursor column is read whole (FULL mode)."""
+    from ..plans.parties import client_receivables
+    view = client_receivables(t, as_of)
+    assert effective_mode(view, "INCREMENTAL") == "FULL"
+    return cursor_page(view, 0)
+
+
+@register("normalize_records", """
+WITH gl AS (SELECT * FROM (""" + "{KEY:general_ledger}" + """)),
+p AS (SELECT * FROM gl WHERE watermark_sync > 0 ORDER BY watermark_sync LIMIT 5000)
+SELECT * REPLACE (
+    strftime(CAST(dt_jour AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S.%gZ') AS dt_jour,
+    strftime(date_creation_saisie, '%Y-%m-%dT%H:%M:%S.%gZ') AS date_creation_saisie,
+    strftime(date_modification, '%Y-%m-%dT%H:%M:%S.%gZ') AS date_modification)
+FROM p
+""")
+def normalize_records_key(t, as_of: str) -> DataFrame:
+    from ..plans.ledger import general_ledger
+    return normalize_records(cursor_page(general_ledger(t, as_of), 0))
+
+
+@register("ingest_chunks", """
+WITH fd AS (SELECT * FROM (""" + "{KEY:finance_daily}" + """)),
+r AS (SELECT (ROW_NUMBER() OVER (ORDER BY dt_jour, cg_num) - 1) // 5000 AS chunk_index FROM fd),
+g AS (SELECT chunk_index, COUNT(*) AS row_count FROM r GROUP BY chunk_index)
+SELECT 'VW_FINANCE_GENERAL' AS view_name, 'FULL' AS sync_mode, CAST(chunk_index AS BIGINT) AS chunk_index,
+    CAST(0 AS BIGINT) AS watermark_min,
+    CASE WHEN chunk_index = (SELECT max(chunk_index) FROM g) THEN CAST(0 AS BIGINT) END AS watermark_max,
+    row_count, 'unknown' AS schema_version
+FROM g
+""")
+def ingest_chunks_key(t, as_of: str) -> DataFrame:
+    """The finance view has no cursor column: FULL mode, whole view in
+    chunks of 5 000, watermark_max 0 on the last chunk only."""
+    from ..plans.ledger import finance_daily
+    view = finance_daily(t, as_of)
+    mode = effective_mode(view, VIEW_CONFIG["VW_FINANCE_GENERAL"][1])
+    _, env = chunk_envelopes(view, [F.col("dt_jour").asc_nulls_last(), F.col("cg_num").asc()],
+                             "VW_FINANCE_GENERAL", mode, 0, 0)
+    return env
+
+
+def _first_pages(batches: DataFrame, cursor: int = 0) -> DataFrame:
+    """Per view, the first page after ``cursor`` (ties broken by batch id).
+
+    row_number() <= k is planned as a per-group limit below the shuffle
+    (WindowGroupLimit), so a hot view never ships more than k rows per
+    input partition."""
+    spark = batches.sparkSession
+    if int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")) < PAGE_SIZE:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(PAGE_SIZE))
+    w = Window.partitionBy("view_name").orderBy("cursor", "batch_id")
+    return (batches.filter(F.col("cursor") > cursor).withColumn("__rn", F.row_number().over(w))
+            .filter(F.col("__rn") <= PAGE_SIZE).drop("__rn"))
+
+
+@register("watermark_state", f"""
+WITH {BATCHES_SQL},
+pg AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY view_name ORDER BY cursor, batch_id) AS rn
+       FROM batches WHERE cursor > 0)
+SELECT view_name, CAST(0 AS BIGINT) AS watermark_min, max(cursor) AS watermark_max, COUNT(*) AS row_count,
+    max(cursor) > 0 AS persisted
+FROM pg WHERE rn <= 5000 GROUP BY view_name
+""")
+def watermark_state(t, as_of: str) -> DataFrame:
+    """One cycle from cursor 0 per view; the new cursor is the maximum
+    over the page and is only stored when > 0."""
+    page = _first_pages(sync_batches(t))
+    return page.groupBy("view_name").agg(
+        F.lit(0).cast("long").alias("watermark_min"), F.max("cursor").alias("watermark_max"),
+        F.count(F.lit(1)).alias("row_count"), (F.max("cursor") > 0).alias("persisted"))
+
+
+@register("full_resync", f"""
+WITH {BATCHES_SQL},
+pg AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY view_name ORDER BY cursor, batch_id) AS rn
+       FROM batches WHERE cursor > 0),
+st AS (SELECT view_name, max(cursor) AS wm FROM pg WHERE rn <= 5000 GROUP BY view_name)
+SELECT view_name, wm AS watermark_before, CAST(0 AS BIGINT) AS watermark_after FROM st WHERE wm > 0
+""")
+def full_resync(t, as_of: str) -> DataFrame:
+    """FORCE_FULL_SYNC appends a 0 for every stored cursor; the latest
+    value per view (max_by over the append sequence) is then 0."""
+    state = watermark_state(t, as_of).filter("persisted").select(
+        "view_name", F.col("watermark_max").alias("value"), F.lit(1).alias("seq"))
+    log = state.unionByName(state.select("view_name", F.lit(0).cast("long").alias("value"), F.lit(2).alias("seq")))
+    latest = log.groupBy("view_name").agg(F.max_by("value", "seq").alias("watermark_after"),
+                                          F.min_by("value", "seq").alias("watermark_before"))
+    return latest.select("view_name", "watermark_before", "watermark_after")
+
+
+@register("snapshot_latest", f"""
+WITH {BATCHES_SQL},
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY agent_id, view_name ORDER BY received_at DESC, batch_id DESC) AS rn,
+             COUNT(*) OVER (PARTITION BY agent_id, view_name) AS n_batches
+      FROM batches)
+SELECT agent_id, view_name, batch_id AS last_batch_id, received_at AS last_received_at,
+    row_count AS last_row_count, cursor AS last_watermark, n_batches
+FROM r WHERE rn = 1
+""")
+def snapshot_latest(t, as_of: str) -> DataFrame:
+    """Latest batch per (agent, view) with max_by, no sort."""
+    b = sync_batches(t)
+    key = F.struct("received_at", "batch_id")
+    return b.groupBy("agent_id", "view_name").agg(
+        F.max_by("batch_id", key).alias("last_batch_id"), F.max("received_at").alias("last_received_at"),
+        F.max_by("row_count", key).alias("last_row_count"), F.max_by("cursor", key).alias("last_watermark"),
+        F.count(F.lit(1)).alias("n_batches"))
+
+
+def _intervals_frame(spark) -> DataFrame:
+    rows = [(v, EVENT_VIEW_INTERVALS.get(v), EVENT_REMOTE_INTERVALS.get(v))
+            for v in sorted(set(EVENT_VIEW_INTERVALS) | set(EVENT_REMOTE_INTERVALS))]
+    return spark.createDataFrame(rows, "view_name string, local_interval int, remote_interval int")
+
+
+def _intervals_sql() -> str:
+    names = sorted(set(EVENT_VIEW_INTERVALS) | set(EVENT_REMOTE_INTERVALS))
+    vals = ", ".join(f"('{v}', {EVENT_VIEW_INTERVALS.get(v, 'NULL')}, {EVENT_REMOTE_INTERVALS.get(v, 'NULL')})"
+                     for v in names)
+    return f"cfg AS (SELECT * FROM (VALUES {vals}) v(view_name, local_interval, remote_interval))"
+
+
+@register("due_views", f"""
+WITH {BATCHES_SQL}, {_intervals_sql()},
+last AS (SELECT view_name, max(received_at) AS last_run FROM batches GROUP BY view_name),
+now_ AS (SELECT max(received_at) AS now_ts FROM batches),
+v AS (SELECT coalesce(l.view_name, c.view_name) AS view_name, l.last_run,
+             CAST(coalesce(c.remote_interval, c.local_interval, {DEFAULT_INTERVAL_MIN}) AS INTEGER) AS interval_min
+      FROM last l FULL OUTER JOIN cfg c ON l.view_name = c.view_name)
+SELECT view_name, last_run, interval_min,
+    (epoch_us((SELECT now_ts FROM now_)) - epoch_us(last_run)) / 60000000.0 AS elapsed_min,
+    last_run IS NULL OR (epoch_us((SELECT now_ts FROM now_)) - epoch_us(last_run)) / 60000000.0 >= interval_min AS is_due
+FROM v
+""")
+def due_views(t, as_of: str) -> DataFrame:
+    """I8: a view is due if it never ran or if the time since its last run
+    reaches its interval (remote value, else local, else 60 minutes).  'now'
+    is the time of the newest batch in the log."""
+    b = sync_batches(t)
+    last = b.groupBy("view_name").agg(F.max("received_at").alias("last_run"))
+    now = scalar(b, F.max("received_at"))
+    cfg = _intervals_frame(t.spark)
+    v = last.join(cfg, "view_name", "full_outer").select(
+        "view_name", "last_run",
+        F.coalesce("remote_interval", "local_interval", F.lit(DEFAULT_INTERVAL_MIN)).cast("int").alias("interval_min"))
+    elapsed = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("last_run").cast("timestamp"))) / 60000000.0
+    return v.select("view_name", "last_run", "interval_min", elapsed.alias("elapsed_min"),
+                    (F.col("last_run").isNull() | (elapsed >= F.col("interval_min"))).alias("is_due"))
+
+
+@register("sync_status", f"""
+WITH {BATCHES_SQL}, {_intervals_sql()},
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY view_name ORDER BY received_at DESC, batch_id DESC) AS rn FROM batches),
+s AS (SELECT view_name, max(received_at) AS last_sync, CAST(SUM(row_count) AS BIGINT) AS total_synced, COUNT(*) AS n_batches
+      FROM batches GROUP BY view_name)
+SELECT s.view_name, s.last_sync, r.row_count AS last_count, 'INCREMENTAL' AS mode,
+    CAST(coalesce(c.remote_interval, c.local_interval, {DEFAULT_INTERVAL_MIN}) AS INTEGER) AS interval_min,
+    s.total_synced, s.n_batches
+FROM s JOIN r ON s.view_name = r.view_name AND r.rn = 1
+LEFT JOIN cfg c ON s.view_name = c.view_name
+""")
+def sync_status(t, as_of: str) -> DataFrame:
+    """Per view last sync time, last row count, mode, interval, running total."""
+    b = sync_batches(t)
+    key = F.struct("received_at", "batch_id")
+    s = b.groupBy("view_name").agg(F.max("received_at").alias("last_sync"),
+                                   F.max_by("row_count", key).alias("last_count"),
+                                   F.sum("row_count").alias("total_synced"),
+                                   F.count(F.lit(1)).alias("n_batches"))
+    cfg = _intervals_frame(t.spark)
+    return s.join(F.broadcast(cfg), "view_name", "left").select(
+        "view_name", "last_sync", "last_count", F.lit("INCREMENTAL").alias("mode"),
+        F.coalesce("remote_interval", "local_interval", F.lit(DEFAULT_INTERVAL_MIN)).cast("int").alias("interval_min"),
+        "total_synced", "n_batches")
+
+
+@register("batch_history", f"""
+WITH {BATCHES_SQL}
+SELECT batch_id, agent_id, view_name, 'INCREMENTAL' AS sync_mode, cursor AS watermark_max, row_count,
+    strftime(received_at, '%Y-%m-%dT%H:%M:%S.%gZ') AS received_at, status
+FROM batches
+""")
+def batch_history(t, as_of: str) -> DataFrame:
+    """K2: the append-only batch history as stored (ISO times)."""
+    b = sync_batches(t)
+    return normalize_records(b.select("batch_id", "agent_id", "view_name", F.lit("INCREMENTAL").alias("sync_mode"),
+                                      F.col("cursor").alias("watermark_max"), "row_count", "received_at", "status"))
+
+
+@register("batch_history_page", f"""
+WITH {BATCHES_SQL},
+f AS (SELECT * FROM batches WHERE view_name = 'click')
+SELECT batch_id, agent_id, view_name, row_count, received_at, (SELECT COUNT(*) FROM f) AS total
+FROM f ORDER BY received_at DESC, batch_id DESC LIMIT 50 OFFSET 50
+""")
+def batch_history_page(t, as_of: str, view: str = "click", page: int = 2, limit: int = 50) -> DataFrame:
+    """Batch history of one view, newest first, page ``page`` of ``limit``
+    rows (limit capped at 100), with the total count."""
+    limit = min(limit, 100)
+    f = sync_batches(t).filter(F.col("view_name") == view)
+    total = scalar(f, F.count(F.lit(1)))
+    return (f.orderBy(F.col("received_at").desc(), F.col("batch_id").desc()).offset((page - 1) * limit).limit(limit)
+            .select("batch_id", "agent_id", "view_name", "row_count", "received_at", total.alias("total")))
+
+
+@register("job_stats", """
+WITH j AS (SELECT user_id AS agent_id, event_id, ts, event_type = 'error' AS failed FROM events),
+ok AS (SELECT agent_id, max(ts) AS last_ok_ts FROM j WHERE NOT failed GROUP BY agent_id),
+okk AS (SELECT j.agent_id, ok.last_ok_ts, max(j.event_id) AS last_ok_id
+        FROM j JOIN ok ON j.agent_id = ok.agent_id AND j.ts = ok.last_ok_ts WHERE NOT j.failed
+        GROUP BY j.agent_id, ok.last_ok_ts)
+SELECT j.agent_id, COUNT(*) AS runs, CAST(SUM(CASE WHEN failed THEN 1 ELSE 0 END) AS BIGINT) AS failed,
+    CAST(SUM(CASE WHEN failed AND (okk.last_ok_ts IS NULL OR j.ts > okk.last_ok_ts
+                               OR (j.ts = okk.last_ok_ts AND j.event_id > okk.last_ok_id)) THEN 1 ELSE 0 END) AS BIGINT)
+        AS consecutive_errors,
+    max(CASE WHEN failed THEN j.ts END) AS last_error_at, max(CASE WHEN NOT failed THEN j.ts END) AS last_success_at
+FROM j LEFT JOIN okk ON j.agent_id = okk.agent_id
+GROUP BY j.agent_id
+""")
+def job_stats(t, as_of: str) -> DataFrame:
+    """Runs, failures, consecutive failures since the last success,
+    last error / success time per agent (errors = 'error' events).  Two
+    grouped aggregations and a join, no per-agent window."""
+    ev = t.src.events
+    j = ev.select(F.col("user_id").alias("agent_id"), "event_id", "ts",
+                  (F.col("event_type") == "error").alias("failed"))
+    last_ok = j.filter(~F.col("failed")).groupBy("agent_id").agg(
+        F.max(F.struct("ts", "event_id")).alias("__ok"))
+    jj = j.join(last_ok, "agent_id", "left")
+    after_ok = F.col("__ok").isNull() | (F.struct("ts", "event_id") > F.col("__ok"))
+    return jj.groupBy("agent_id").agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.sum(F.when(F.col("failed"), 1).otherwise(0)).cast("long").alias("failed"),
+        F.sum(F.when(F.col("failed") & after_ok, 1).otherwise(0)).cast("long").alias("consecutive_errors"),
+        F.max(F.when(F.col("failed"), F.col("ts"))).alias("last_error_at"),
+        F.max(F.when(~F.col("failed"), F.col("ts"))).alias("last_success_at"))
+
+
+# --------------------------------------------------------------------------- I12
+
+def heartbeat_sessions_df(beats: DataFrame, agent: str = "agent_id", ts: str = "ts",
+                          limit: str = HEARTBEAT_LIMIT) -> DataFrame:
+    """Online periods per agent: beats closer than ``limit`` belong to one
+    session; a session ends ``limit`` after its last beat.
+
+    ``session_window`` merges sessions map-side before the shuffle, so a hot
+    agent ships sessions (bounded by its time span / limit), not beats."""
+    return (beats.groupBy(F.col(agent).alias("agent_id"), F.session_window(F.col(ts), limit).alias("s"))
+            .agg(F.count(F.lit(1)).alias("n_beats"), F.min(ts).alias("first_beat"), F.max(ts).alias("last_beat"))
+            .select("agent_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
+                    "n_beats", "first_beat", "last_beat"))
+
+
+def heartbeat_gaps_df(beats: DataFrame, agent: str = "agent_id", ts: str = "ts",
+                      limit_seconds: int = HEARTBEAT_LIMIT_SECONDS) -> DataFrame:
+    """Silences longer than the limit: consecutive sessions of an agent.
+
+    The per-agent window runs over sessions, whose number is bounded by the
+    agent's time span divided by the limit, never over raw beats."""
+    sess = heartbeat_sessions_df(beats, agent, ts, f"{limit_seconds} seconds")
+    w = Window.partitionBy("agent_id").orderBy("first_beat")
+    g = sess.select("agent_id", F.lag("last_beat").over(w).alias("silent_from"),
+                    F.col("first_beat").alias("silent_until"))
+    gap_s = (F.unix_micros(F.col("silent_until").cast("timestamp"))
+             - F.unix_micros(F.col("silent_from").cast("timestamp"))) / 1e6
+    return (g.filter(F.col("silent_from").isNotNull())
+            .select("agent_id", "silent_from", "silent_until", (gap_s / 60.0).alias("gap_minutes"))
+            .filter(F.col("gap_minutes") * 60.0 > limit_seconds))
+
+
+def _beats(t) -> DataFrame:
+    return t.src.events.select(F.col("user_id").alias("agent_id"), "ts")
+
+
+HB_SQL = f"""
+b AS (SELECT user_id AS agent_id, ts, event_id FROM events),
+l AS (SELECT *, lag(ts) OVER (PARTITION BY agent_id ORDER BY ts, event_id) AS prev_ts FROM b),
+s AS (SELECT *, SUM(CASE WHEN prev_ts IS NULL OR ts >= prev_ts + INTERVAL {HEARTBEAT_LIMIT_SECONDS} SECOND
+                         THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY agent_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM l)"""
+
+
+@register("heartbeat_sessions", f"""
+WITH {HB_SQL}
+SELECT agent_id, min(ts) AS session_start, max(ts) + INTERVAL {HEARTBEAT_LIMIT_SECONDS} SECOND AS session_end,
+    COUNT(*) AS n_beats, min(ts) AS first_beat, max(ts) AS last_beat
+FROM s GROUP BY agent_id, sid
+""")
+def heartbeat_sessions(t, as_of: str) -> DataFrame:
+    return heartbeat_sessions_df(_beats(t))
+
+
+@register("heartbeat_gaps", f"""
+WITH {HB_SQL}
+SELECT agent_id, prev_ts AS silent_from, ts AS silent_until,
+    (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 / 60.0 AS gap_minutes
+FROM l WHERE prev_ts IS NOT NULL AND (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 > {HEARTBEAT_LIMIT_SECONDS}
+""")
+def heartbeat_gaps(t, as_of: str) -> DataFrame:
+    return heartbeat_gaps_df(_beats(t))
+
+
+# --------------------------------------------------------------------------- L2
+
+@register("adhoc_row_cap", "WITH tf AS (SELECT * FROM ({KEY:treasury_flows})) SELECT * FROM tf ORDER BY ec_no LIMIT 1000")
+def adhoc_row_cap(t, as_of: str) -> DataFrame:
+    """Ad-hoc SELECT over the registered views, capped at the configured
+    1 000 rows (the cap is a limit on the final frame)."""
+    from ..plans.views import adhoc_query
+    return adhoc_query(t, as_of, "SELECT * FROM VW_TRESORERIE ORDER BY ec_no")
