@@ -33,6 +33,13 @@ def scalar(df: DataFrame, expr: Column) -> Column:
     return df.select(expr).scalar()
 
 
+def scalars(df: DataFrame, **exprs: Column) -> dict[str, Column]:
+    """Several aggregates of ``df`` computed by ONE scalar subquery (a struct),
+    returned as columns by name."""
+    s = df.select(F.struct(*[e.alias(k) for k, e in exprs.items()])).scalar()
+    return {k: s.getField(k) for k in exprs}
+
+
 def attach_group_totals(df: DataFrame, keys: list[str], aggs: dict[str, Column],
                         null_safe: bool = True) -> DataFrame:
     """Add per-key aggregates to every row (window PARTITION BY semantics).
@@ -54,20 +61,21 @@ def distributed_row_number(df: DataFrame, order: list[Column], name: str = "row_
                            num_partitions: int | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order) without a single-partition window.
 
-    ``order`` must be a total order (add a unique tie-breaker).  Rows are
-    range-partitioned and sorted, the per-partition position comes from
-    ``monotonically_increasing_id`` (partition index in the upper bits), the
-    per-partition counts (one row per partition) give the offsets.  The
-    ranged frame is checkpointed to the shared checkpoint folder so both
-    passes see the same partition boundaries, and a lost executor does not
-    re-sample them.
+    ``order`` must be a total order (add a unique tie-breaker).  The input is
+    checkpointed once to the shared checkpoint folder; from that fixed input
+    the range boundaries are sampled deterministically, so a recomputed
+    partition (lost executor) gets the same rows and ids.  Rows are
+    range-partitioned and sorted, the position inside a partition comes from
+    ``monotonically_increasing_id`` (partition index in the upper bits) and
+    the per-partition counts (one row per partition, broadcast) give the
+    offsets.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    fixed = df.checkpoint(eager=True)
+    ranged = (fixed.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("__mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
     ranged = ranged.withColumn("__pid", F.shiftright(F.col("__mid"), 33)) \
                    .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))

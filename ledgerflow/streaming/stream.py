@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..registry import register
 from ..session import scratch_path
-from .sync import PAGE_SIZE, chunk_envelopes, normalize_records, resolve_cursor_column
+from .sync import PAGE_SIZE, normalize_records, resolve_cursor_column
 
 
 class LedgerSync:
@@ -46,26 +46,43 @@ class LedgerSync:
         return int(row[0]) if row and row[0] is not None else 0
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """foreachBatch body; running it again for the same id changes nothing."""
+        """foreachBatch body; running it again for the same id changes nothing.
+
+        Chunks are cut inside each input split of the micro-batch (at most
+        PAGE_SIZE rows each), so no shuffle or global sort is needed; the
+        ids are stable on recomputation because a file source always splits
+        and reads a file the same way."""
         col = resolve_cursor_column(batch)
         mode = "INCREMENTAL" if col else "FULL"
         cmin = self._previous_cursor(batch_id) if col else 0
-        cmax_row = batch.agg(F.max(col)).first() if col else None
-        cmax = int(cmax_row[0]) if cmax_row and cmax_row[0] is not None else 0
-        if cmax_row is not None and cmax_row[0] is None:
-            return  # empty micro-batch: nothing to upload, cursor unchanged
-        order = [F.col(col).asc()] if col else [F.col(c).asc_nulls_last() for c in batch.columns[:2]]
-        rows, env = chunk_envelopes(normalize_records(batch), order, self.view_name, mode, cmin,
-                                    cmax if col else 0, self.schema_version, PAGE_SIZE)
+        mid = F.monotonically_increasing_id()
+        local = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
+        rows = (normalize_records(batch).withColumn("__mid", mid)
+                .withColumn("chunk_index", F.shiftleft(F.shiftright(F.col("__mid"), 33), 24)
+                            + F.floor(local / PAGE_SIZE).cast("long"))
+                .drop("__mid"))
         part = f"batch_id={batch_id}"
         rows.write.mode("overwrite").parquet(f"{self.sink_dir}/{part}")
+        written = self.spark.read.parquet(f"{self.sink_dir}/{part}")
+        cur = F.col(col) if col else F.lit(0)
+        per_chunk = written.groupBy("chunk_index").agg(F.count(F.lit(1)).alias("row_count"),
+                                                       F.max(cur).alias("__cmax"))
+        summary = per_chunk.agg(F.max("chunk_index").alias("last"), F.sum("row_count").alias("n"),
+                                F.max("__cmax").alias("cmax")).first()
+        if summary["n"] is None:
+            return  # empty micro-batch: nothing to upload, cursor unchanged
+        cmax = int(summary["cmax"]) if col else 0
+        env = per_chunk.select(
+            F.lit(self.view_name).alias("view_name"), F.lit(mode).alias("sync_mode"), "chunk_index",
+            F.lit(cmin).cast("long").alias("watermark_min"),
+            F.when(F.col("chunk_index") == summary["last"], F.lit(cmax)).cast("long").alias("watermark_max"),
+            "row_count", F.lit(self.schema_version).alias("schema_version"))
         env.write.mode("overwrite").parquet(f"{self.envelope_dir}/{part}")
         # the cursor is stored only after the data is written, and only if > 0
-        n = env.agg(F.sum("row_count")).first()[0] or 0
-        state = self.spark.createDataFrame(
-            [(self.view_name, mode, cmin, cmax, int(n))],
-            "view_name string, sync_mode string, watermark_min long, watermark_max long, row_count long")
         if cmax > 0:
+            state = self.spark.createDataFrame(
+                [(self.view_name, mode, cmin, cmax, int(summary["n"]))],
+                "view_name string, sync_mode string, watermark_min long, watermark_max long, row_count long")
             state.write.mode("overwrite").parquet(f"{self.state_dir}/{part}")
 
     def run(self, schema, deliveries: int = 1) -> None:
