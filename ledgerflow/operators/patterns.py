@@ -61,21 +61,23 @@ def distributed_row_number(df: DataFrame, order: list[Column], name: str = "row_
                            num_partitions: int | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order) without a single-partition window.
 
-    ``order`` must be a total order (add a unique tie-breaker).  The input is
-    checkpointed once to the shared checkpoint folder; from that fixed input
-    the range boundaries are sampled deterministically, so a recomputed
-    partition (lost executor) gets the same rows and ids.  Rows are
-    range-partitioned and sorted, the position inside a partition comes from
+    ``order`` must be a total order (add a unique tie-breaker).  Rows are
+    range-partitioned and sorted; the position inside a partition comes from
     ``monotonically_increasing_id`` (partition index in the upper bits) and
     the per-partition counts (one row per partition, broadcast) give the
-    offsets.
+    offsets.  The range boundaries are sampled with a seed that depends on
+    the RDD id, so two evaluations may cut differently: the ranged rows with
+    their ids are therefore checkpointed once (shared checkpoint folder, so
+    a lost executor does not change them) and both passes read that copy.
+    The input is cached for the two jobs that build it (sampling, write).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fixed = df.checkpoint(eager=True)
-    ranged = (fixed.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("__mid", F.monotonically_increasing_id()))
+    cached = df.persist()
+    ranged = (cached.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("__mid", F.monotonically_increasing_id())).checkpoint(eager=True)
+    cached.unpersist()
     ranged = ranged.withColumn("__pid", F.shiftright(F.col("__mid"), 33)) \
                    .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
