@@ -153,6 +153,8 @@ def heartbeat_session_stream(spark: SparkSession, source_dir: str, schema, sink_
     watermark a session is emitted once it is closed (the agent went silent
     for ``limit``); beats later than the watermark are dropped."""
     beats = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
+    # event-time watermarks need TIMESTAMP (session time zone is UTC)
+    beats = beats.withColumn(ts, F.col(ts).cast("timestamp"))
     sessions = (beats.withWatermark(ts, limit)
                 .groupBy(F.col(agent).alias("agent_id"), F.session_window(F.col(ts), limit).alias("s"))
                 .agg(F.count(F.lit(1)).alias("n_beats"))
