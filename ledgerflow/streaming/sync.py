@@ -433,8 +433,9 @@ def job_stats(t, as_of: str) -> DataFrame:
 
 def heartbeat_sessions_df(beats: DataFrame, agent: str = "agent_id", ts: str = "ts",
                           limit: str = HEARTBEAT_LIMIT) -> DataFrame:
-    """Online periods per agent: beats closer than ``limit`` belong to one
-    session; a session ends ``limit`` after its last beat.
+    """Online periods per agent: a beat at most ``limit`` after the previous
+    one stays in its session (a new session starts after a silence longer
+    than ``limit``); a session ends ``limit`` after its last beat.
 
     ``session_window`` merges sessions map-side before the shuffle, so a hot
     agent ships sessions (bounded by its time span / limit), not beats."""
@@ -468,7 +469,7 @@ def _beats(t) -> DataFrame:
 HB_SQL = f"""
 b AS (SELECT user_id AS agent_id, ts, event_id FROM events),
 l AS (SELECT *, lag(ts) OVER (PARTITION BY agent_id ORDER BY ts, event_id) AS prev_ts FROM b),
-s AS (SELECT *, SUM(CASE WHEN prev_ts IS NULL OR ts >= prev_ts + INTERVAL {HEARTBEAT_LIMIT_SECONDS} SECOND
+s AS (SELECT *, SUM(CASE WHEN prev_ts IS NULL OR ts > prev_ts + INTERVAL {HEARTBEAT_LIMIT_SECONDS} SECOND
                          THEN 1 ELSE 0 END)
                  OVER (PARTITION BY agent_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM l)"""
 

@@ -68,9 +68,9 @@ def test_chunk_envelopes(spark):
 def test_heartbeat_sessions_and_gaps(spark):
     base = dt.datetime(2024, 1, 1)
     beats = [(1, base), (1, base + dt.timedelta(hours=5)), (1, base + dt.timedelta(hours=30)),
-             (2, base), (2, base + dt.timedelta(hours=12))]                 # exactly the limit: new session
+             (2, base), (2, base + dt.timedelta(hours=12))]                 # exactly the limit: same session
     df = spark.createDataFrame(beats, "agent_id long, ts timestamp_ntz")
     s = sorted((r["agent_id"], r["n_beats"]) for r in heartbeat_sessions_df(df).collect())
-    assert s == [(1, 1), (1, 2), (2, 1), (2, 1)]
+    assert s == [(1, 1), (1, 2), (2, 2)]
     g = sorted((r["agent_id"], r["gap_minutes"]) for r in heartbeat_gaps_df(df).collect())
     assert g == [(1, 25 * 60.0)]                                       # 12 h exactly is not "silent > limit"
