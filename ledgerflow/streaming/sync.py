@@ -164,6 +164,17 @@ def _events_source(t) -> DataFrame:
 
 # --------------------------------------------------------------------------- keys
 
+def ledger_view_page(t, as_of: str, cursor) -> DataFrame:
+    """A page of the general-ledger view.  The view is row-preserving (only
+    unique-key joins, no window), so the page is cut on the ledger's own
+    cursor (cbmarq = watermark_sync) before the joins: same rows, and the
+    bounded top-k runs on the scan instead of on the joined table.  Views
+    with whole-set windows are always paged after they are computed."""
+    from ..plans.ledger import general_ledger
+    page = cursor_page(t.f_ecriturec, cursor, cursor_col="cbmarq")
+    return general_ledger(t, as_of, ledger=page).orderBy("watermark_sync")
+
+
 @register("cursor_page", """
 WITH gl AS (SELECT * FROM (""" + "{KEY:general_ledger}" + """)),
 p1 AS (SELECT watermark_sync FROM gl WHERE watermark_sync > 0 ORDER BY watermark_sync LIMIT 5000)
@@ -172,10 +183,8 @@ ORDER BY watermark_sync LIMIT 5000
 """)
 def cursor_page_key(t, as_of: str) -> DataFrame:
     """Second page of the general ledger: cursor = last value of page 1."""
-    from ..plans.ledger import general_ledger
-    gl = general_ledger(t, as_of)
-    first = cursor_page(gl, 0)
-    return cursor_page(gl, scalar(first, F.max("watermark_sync")))
+    first = cursor_page(t.f_ecriturec, 0, cursor_col="cbmarq")
+    return ledger_view_page(t, as_of, scalar(first, F.max("cbmarq")))
 
 
 @register("cursor_page_tie_safe", """
@@ -207,8 +216,8 @@ SELECT * REPLACE (
 FROM p
 """)
 def normalize_records_key(t, as_of: str) -> DataFrame:
-    from ..plans.ledger import general_ledger
-    return normalize_records(cursor_page(general_ledger(t, as_of), 0))
+    """I3 on the first page of the general ledger."""
+    return normalize_records(ledger_view_page(t, as_of, 0))
 
 
 @register("ingest_chunks", """
