@@ -8,8 +8,12 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC clock, ANSI arithmetic, AQE with
-# skew-join splitting and runtime broadcast conversion (a broadcast only
-# happens when the measured size of a finished stage is under the limit).
+# skew-join splitting and runtime broadcast conversion.  Broadcast size
+# checks: the planner's estimate from Parquet file sizes is multiplied by 4
+# (compressed columnar files expand in memory) and compared with Spark's
+# default 10 MB; AQE may still broadcast a side whose MEASURED shuffle size
+# is under 32 MB.  Explicit broadcast hints are only used for frames with a
+# fixed bound (52-row mapping, calendar, top-10 rows, one row per partition).
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -17,7 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
