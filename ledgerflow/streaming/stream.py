@@ -48,13 +48,18 @@ class LedgerSync:
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         """foreachBatch body; running it again for the same id changes nothing.
 
-        Chunks are cut inside each input split of the micro-batch (at most
-        PAGE_SIZE rows each), so no shuffle or global sort is needed; the
-        ids are stable on recomputation because a file source always splits
-        and reads a file the same way."""
+        Chunks are cut inside each partition of the micro-batch (at most
+        PAGE_SIZE rows each), so no global sort is needed."""
         col = resolve_cursor_column(batch)
         mode = "INCREMENTAL" if col else "FULL"
         cmin = self._previous_cursor(batch_id) if col else 0
+        # a micro-batch of one file is one task: spread it over the cores.
+        # Chunk ids are cut inside the writing task and the envelopes are
+        # computed from the committed files, so the sink stays consistent
+        # even if a retried task orders its rows differently.
+        parallelism = self.spark.sparkContext.defaultParallelism
+        if batch.rdd.getNumPartitions() < parallelism:
+            batch = batch.repartition(parallelism, *([F.col(col)] if col else []))
         mid = F.monotonically_increasing_id()
         local = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
         rows = (normalize_records(batch).withColumn("__mid", mid)
@@ -85,12 +90,13 @@ class LedgerSync:
                 "view_name string, sync_mode string, watermark_min long, watermark_max long, row_count long")
             state.write.mode("overwrite").parquet(f"{self.state_dir}/{part}")
 
-    def run(self, schema, deliveries: int = 1) -> None:
+    def run(self, schema, deliveries: int = 1, replayed: set[int] | None = None) -> None:
         """Run the stream to the end of the available files.  ``deliveries``
-        > 1 hands every micro-batch to the sink several times, as an
-        at-least-once retry after a failure would."""
+        > 1 hands micro-batches (all, or those in ``replayed``) to the sink
+        several times, as an at-least-once retry after a failure would."""
         def sink(batch: DataFrame, batch_id: int) -> None:
-            for _ in range(deliveries):
+            n = deliveries if replayed is None or batch_id in replayed else 1
+            for _ in range(n):
                 self.process_batch(batch, batch_id)
 
         stream = (self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.files_per_trigger)
@@ -119,31 +125,43 @@ def _sync_root(spark: SparkSession, tag: str) -> str:
     return scratch_path(spark, f"{tag}-{uuid.uuid4().hex}")
 
 
-@register("stream_ledger_sync", raw=True)
-def stream_ledger_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger exported as 8 cursor-ordered files, synced by a
-    file stream (one file per micro-batch) into the chunked sink."""
+def _ledger_source(spark: SparkSession, sf_dir: str, root: str, batches: int) -> tuple[str, int]:
+    """Folder of ledger Parquet files to stream, and files per micro-batch.
+
+    A stored ledger (materialised ERP tables) is streamed as it is;
+    otherwise the derived ledger is first exported as cursor-ordered files."""
     from ..registry import tables
     t = tables(spark, sf_dir)
-    root = _sync_root(spark, "ledger-sync")
+    if t.stored_dir:
+        src = f"{t.stored_dir}/f_ecriturec"
+        n_files = len(spark.read.parquet(src).inputFiles())
+        return src, max(1, -(-n_files // batches))
     src = f"{root}/source"
-    export_source(t.f_ecriturec, src, 8, "cbmarq")
-    job = LedgerSync(spark, "VW_ECRITURES", src, root)
+    export_source(t.f_ecriturec, src, batches, "cbmarq")
+    return src, 1
+
+
+@register("stream_ledger_sync", raw=True)
+def stream_ledger_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger files synced by a file stream (about 8 micro-batches)
+    into the chunked sink."""
+    root = _sync_root(spark, "ledger-sync")
+    src, per_trigger = _ledger_source(spark, sf_dir, root, 8)
+    job = LedgerSync(spark, "VW_ECRITURES", src, root, files_per_trigger=per_trigger)
     job.run(spark.read.parquet(src).schema)
     return job.synced()
 
 
 @register("stream_watermark_replay", raw=True)
 def stream_watermark_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored cursors after a sync in which every micro-batch is
-    delivered twice (at-least-once): the state equals a single delivery."""
-    from ..registry import tables
-    t = tables(spark, sf_dir)
+    """The stored cursors after a sync whose last micro-batch is
+    delivered twice (the in-flight batch of a crash is re-run under the same
+    id with at-least-once delivery): the state equals a single delivery."""
     root = _sync_root(spark, "ledger-replay")
-    src = f"{root}/source"
-    export_source(t.f_ecriturec, src, 4, "cbmarq")
-    job = LedgerSync(spark, "VW_ECRITURES", src, root)
-    job.run(spark.read.parquet(src).schema, deliveries=2)
+    src, per_trigger = _ledger_source(spark, sf_dir, root, 4)
+    n_batches = -(-len(spark.read.parquet(src).inputFiles()) // per_trigger)
+    job = LedgerSync(spark, "VW_ECRITURES", src, root, files_per_trigger=per_trigger)
+    job.run(spark.read.parquet(src).schema, deliveries=2, replayed={n_batches - 1})
     return job.state()
 
 
