@@ -11,13 +11,13 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerflow import registry  # noqa: E402
-from ledgerflow.session import build_session  # noqa: E402
+from ledgerflow.session import build_session, scratch_path  # noqa: E402
 from ledgerflow.sources.adapter import ErpTables  # noqa: E402
 
 
@@ -25,16 +25,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [k for k in os.environ.get("BENCH_KEYS", "").split(",") if k]
-    scratch = tempfile.mkdtemp(prefix="ledgerflow-bench-")
     spark = build_session(f"local[{cpus}]", app="ledgerflow-bench", shuffle_partitions=4 * cpus, extra={
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-        "spark.checkpoint.dir": os.path.join(scratch, "checkpoint"),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     })
     sf = sf_dir.rsplit("sf", 1)[-1]
 
     t0 = time.time()
-    stored = ErpTables(spark, sf_dir).materialize(os.path.join(scratch, "erp"))
+    # the ERP tables go to the shared checkpoint folder named by the session
+    stored = ErpTables(spark, sf_dir).materialize(scratch_path(spark, f"bench-erp-{uuid.uuid4().hex}"))
     adapter_sec = time.time() - t0
     registry._TABLES[(id(spark), sf_dir)] = stored
 

@@ -98,8 +98,8 @@ SELECT 0 AS watermark_sync, 2001 AS annee_courante, 7 AS mois_courant,
     CAST(ca_annee AS DOUBLE) AS ca_annee, CAST(ca_mois AS DOUBLE) AS ca_mois,
     CAST(charges_annee AS DOUBLE) AS charges_annee, CAST(resultat_annee AS DOUBLE) AS resultat_annee,
     CAST(tresorerie_solde AS DOUBLE) AS tresorerie_solde,
-    CAST(nc AS BIGINT) AS nb_clients_actifs, CAST(nf AS BIGINT) AS nb_fournisseurs_actifs
-FROM l, p
+    CAST((SELECT nc FROM p) AS BIGINT) AS nb_clients_actifs, CAST((SELECT nf FROM p) AS BIGINT) AS nb_fournisseurs_actifs
+FROM l
 """)
 def kpi_documented(t, as_of: str) -> DataFrame:
     """One-row KPI page (year-to-date revenue and charges, result on
