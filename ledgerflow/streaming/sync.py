@@ -511,3 +511,31 @@ def adhoc_row_cap(t, as_of: str) -> DataFrame:
     1 000 rows (the cap is a limit on the final frame)."""
     from ..plans.views import adhoc_query
     return adhoc_query(t, as_of, "SELECT * FROM VW_TRESORERIE ORDER BY ec_no")
+
+
+# --------------------------------------------------------------------------- I8 + I11
+
+def run_sync_cycle(t, as_of: str, cursors: dict[str, int], due: list[str] | None = None,
+                   sink=None) -> tuple[dict[str, dict], dict[str, str]]:
+    """One cycle over the due views: page each view after its cursor and hand
+    the page to ``sink(view_name, page_df)``.  A failing view is recorded and
+    skipped; the other views go on (failure isolation).  Returns per-view
+    results (rows, new cursor, mode) and per-view errors."""
+    from ..plans.views import view as build_view
+    results, errors = {}, {}
+    for name in due or list(VIEW_CONFIG):
+        try:
+            v = build_view(t, as_of, name)
+            mode = effective_mode(v, VIEW_CONFIG.get(name, (DEFAULT_INTERVAL_MIN, "FULL"))[1])
+            c = cursors.get(name, 0) if mode == "INCREMENTAL" else 0
+            page = cursor_page(v, c) if mode == "INCREMENTAL" else v
+            col = resolve_cursor_column(v)
+            stats = page.agg(F.count(F.lit(1)).alias("n"),
+                             (F.max(col) if col and mode == "INCREMENTAL" else F.lit(None)).alias("c")).first()
+            if sink is not None and stats["n"]:
+                sink(name, page)
+            new_cursor = stats["c"] if stats["c"] is not None and stats["c"] > 0 else c
+            results[name] = {"rows": stats["n"], "cursor": new_cursor, "mode": mode}
+        except Exception as e:  # noqa: BLE001 - isolation is the point
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
+    return results, errors

@@ -74,3 +74,18 @@ def test_heartbeat_sessions_and_gaps(spark):
     assert s == [(1, 1), (1, 2), (2, 2)]
     g = sorted((r["agent_id"], r["gap_minutes"]) for r in heartbeat_gaps_df(df).collect())
     assert g == [(1, 25 * 60.0)]                                       # 12 h exactly is not "silent > limit"
+
+
+def test_sync_cycle_isolates_failures(spark):
+    from minitables import MiniTables, ledger_row, party
+    from ledgerflow.streaming.sync import run_sync_cycle
+    rows = [ledger_row(i, "2001-01-10", "512000", "C1", "10.00") for i in range(1, 8)]
+    t = MiniTables(spark, rows, [party("C1", "x")])
+    seen = []
+    # the stock views need article tables that MiniTables does not have: they fail, the others go on
+    res, err = run_sync_cycle(t, "2001-07-15", {"VW_TRESORERIE": 3},
+                              ["VW_TRESORERIE", "VW_STOCKS", "VW_GRAND_LIVRE_GENERAL"],
+                              sink=lambda name, df: seen.append(name))
+    assert "VW_STOCKS" in err and set(res) == {"VW_TRESORERIE", "VW_GRAND_LIVRE_GENERAL"}
+    assert res["VW_TRESORERIE"] == {"rows": 4, "cursor": 7, "mode": "INCREMENTAL"}
+    assert res["VW_GRAND_LIVRE_GENERAL"]["rows"] == 7 and seen == ["VW_TRESORERIE", "VW_GRAND_LIVRE_GENERAL"]
