@@ -125,3 +125,32 @@ def latest_per_key(df: DataFrame, keys: list[str], order_col: str, values: list[
     """Value of the row with the greatest ``order_col`` per key (max_by)."""
     return df.groupBy(*keys).agg(*[F.max_by(v, order_col).alias(v) for v in values],
                                  F.max(order_col).alias(order_col))
+
+
+_TYPE_BYTES = {"string": 24, "binary": 24, "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8,
+               "integer": 4, "float": 4, "date": 4, "short": 2, "byte": 1, "boolean": 1}
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def _row_bytes(df: DataFrame) -> int:
+    size = 16
+    for f in df.schema.fields:
+        name = f.dataType.typeName()
+        size += 16 if name == "decimal" else _TYPE_BYTES.get(name, 32)
+    return size
+
+
+def size_checked(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, cache: bool = False) -> DataFrame:
+    """Broadcast ``df`` only after MEASURING it: row count x estimated row
+    width must be under ``max_bytes`` (64 MB); otherwise the frame is
+    returned as is and the join stays a sort-merge join (with AQE skew
+    splitting).  ``cache=True`` keeps a computed frame for the join, so it
+    is not computed twice (once for the check, once for the join)."""
+    if cache:
+        df = df.persist()
+    n = df.count()
+    if n * _row_bytes(df) <= max_bytes:
+        return F.broadcast(df)
+    if cache:
+        df.unpersist()
+    return df
