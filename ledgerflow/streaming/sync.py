@@ -345,7 +345,8 @@ def due_views(t, as_of: str) -> DataFrame:
     v = last.join(cfg, "view_name", "full_outer").select(
         "view_name", "last_run",
         F.coalesce("remote_interval", "local_interval", F.lit(DEFAULT_INTERVAL_MIN)).cast("int").alias("interval_min"))
-    elapsed = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("last_run").cast("timestamp"))) / 60000000.0
+    # zone-independent difference of two timestamp_ntz values
+    elapsed = F.timestamp_diff("MICROSECOND", F.col("last_run"), now) / 60000000.0
     return v.select("view_name", "last_run", "interval_min", elapsed.alias("elapsed_min"),
                     (F.col("last_run").isNull() | (elapsed >= F.col("interval_min"))).alias("is_due"))
 
@@ -464,8 +465,7 @@ def heartbeat_gaps_df(beats: DataFrame, agent: str = "agent_id", ts: str = "ts",
     w = Window.partitionBy("agent_id").orderBy("first_beat")
     g = sess.select("agent_id", F.lag("last_beat").over(w).alias("silent_from"),
                     F.col("first_beat").alias("silent_until"))
-    gap_s = (F.unix_micros(F.col("silent_until").cast("timestamp"))
-             - F.unix_micros(F.col("silent_from").cast("timestamp"))) / 1e6
+    gap_s = F.timestamp_diff("MICROSECOND", F.col("silent_from"), F.col("silent_until")) / 1e6
     return (g.filter(F.col("silent_from").isNotNull())
             .select("agent_id", "silent_from", "silent_until", (gap_s / 60.0).alias("gap_minutes"))
             .filter(F.col("gap_minutes") * 60.0 > limit_seconds))

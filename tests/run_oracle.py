@@ -12,7 +12,8 @@ from ledgerflow.session import build_session  # noqa: E402
 sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
 keys = sys.argv[2:]
 sf_dir = f"/root/testdata/sf{sf}"
-spark = build_session("local[8]", shuffle_partitions=8)
+import os
+spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.sql.session.timeZone": os.environ.get("SESSION_TZ", "UTC")})
 con = duck_connect(sf_dir)
 qs, os_ = queries(), oracle_sql()
 bad = 0
