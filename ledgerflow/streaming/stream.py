@@ -35,9 +35,16 @@ class LedgerSync:
         self.checkpoint_dir = f"{root}/checkpoint"
         self.files_per_trigger = files_per_trigger
         self.schema_version = schema_version
+        self._stored: dict[int, int] = {}     # batch id -> cursor stored by this process
 
     def _previous_cursor(self, batch_id: int) -> int:
-        """Cursor stored by the batches before this one (0 if none)."""
+        """Cursor stored by the batches before this one (0 if none); read from
+        the state folder only when this process did not store them itself
+        (first batch after a restart)."""
+        if batch_id == 0:
+            return 0
+        if all(b in self._stored for b in range(batch_id)):
+            return max([self._stored[b] for b in range(batch_id)] + [0])
         try:
             st = self.spark.read.parquet(self.state_dir)
         except Exception:  # noqa: BLE001 - no state yet
@@ -68,27 +75,35 @@ class LedgerSync:
                 .drop("__mid"))
         part = f"batch_id={batch_id}"
         rows.write.mode("overwrite").parquet(f"{self.sink_dir}/{part}")
+        # envelopes from the committed files, in one pass over two columns;
+        # the batch-wide maximum cursor goes on the last chunk only
         written = self.spark.read.parquet(f"{self.sink_dir}/{part}")
         cur = F.col(col) if col else F.lit(0)
         per_chunk = written.groupBy("chunk_index").agg(F.count(F.lit(1)).alias("row_count"),
-                                                       F.max(cur).alias("__cmax"))
-        summary = per_chunk.agg(F.max("chunk_index").alias("last"), F.sum("row_count").alias("n"),
-                                F.max("__cmax").alias("cmax")).first()
-        if summary["n"] is None:
-            return  # empty micro-batch: nothing to upload, cursor unchanged
-        cmax = int(summary["cmax"]) if col else 0
+                                                       F.max(cur).cast("long").alias("chunk_cursor_max"))
+        last = per_chunk.select(F.max("chunk_index")).scalar()
+        bmax = per_chunk.select(F.max("chunk_cursor_max")).scalar()
         env = per_chunk.select(
             F.lit(self.view_name).alias("view_name"), F.lit(mode).alias("sync_mode"), "chunk_index",
             F.lit(cmin).cast("long").alias("watermark_min"),
-            F.when(F.col("chunk_index") == summary["last"], F.lit(cmax)).cast("long").alias("watermark_max"),
-            "row_count", F.lit(self.schema_version).alias("schema_version"))
+            F.when(F.col("chunk_index") == last, bmax if col else F.lit(0)).cast("long").alias("watermark_max"),
+            "row_count", F.lit(self.schema_version).alias("schema_version"), "chunk_cursor_max")
         env.write.mode("overwrite").parquet(f"{self.envelope_dir}/{part}")
+        summary = self.spark.read.parquet(f"{self.envelope_dir}/{part}").agg(
+            F.sum("row_count").alias("n"), F.max("chunk_cursor_max").alias("cmax")).first()
+        if summary["n"] is None:
+            self._stored[batch_id] = cmin
+            return  # empty micro-batch: nothing to upload, cursor unchanged
+        cmax = int(summary["cmax"]) if col else 0
         # the cursor is stored only after the data is written, and only if > 0
         if cmax > 0:
             state = self.spark.createDataFrame(
                 [(self.view_name, mode, cmin, cmax, int(summary["n"]))],
                 "view_name string, sync_mode string, watermark_min long, watermark_max long, row_count long")
             state.write.mode("overwrite").parquet(f"{self.state_dir}/{part}")
+            self._stored[batch_id] = cmax
+        else:
+            self._stored[batch_id] = cmin
 
     def run(self, schema, deliveries: int = 1, replayed: set[int] | None = None) -> None:
         """Run the stream to the end of the available files.  ``deliveries``
