@@ -89,3 +89,27 @@ def test_sync_cycle_isolates_failures(spark):
     assert "VW_STOCKS" in err and set(res) == {"VW_TRESORERIE", "VW_GRAND_LIVRE_GENERAL"}
     assert res["VW_TRESORERIE"] == {"rows": 4, "cursor": 7, "mode": "INCREMENTAL"}
     assert res["VW_GRAND_LIVRE_GENERAL"]["rows"] == 7 and seen == ["VW_TRESORERIE", "VW_GRAND_LIVRE_GENERAL"]
+
+
+def test_payload_json_per_chunk(spark):
+    import json
+    from ledgerflow.streaming.sync import to_payload
+    df = spark.range(7).select(F.col("id").alias("cbmarq"), (F.col("id") * 2).alias("v"))
+    rows, env = chunk_envelopes(df, [F.col("cbmarq")], "V", "INCREMENTAL", 0, 6, size=3)
+    docs = sorted((json.loads(r["payload"]) for r in to_payload(rows, env).collect()),
+                  key=lambda d: d["rows"][0]["cbmarq"])
+    assert [d["row_count"] for d in docs] == [3, 3, 1]
+    assert [d.get("watermark_max") for d in docs] == [None, None, 6]
+    assert sorted(x["v"] for d in docs for x in d["rows"]) == [0, 2, 4, 6, 8, 10, 12]
+
+
+def test_adhoc_query_policy_and_cap(spark):
+    import pytest
+    from minitables import MiniTables, ledger_row, party
+    from ledgerflow.plans.views import adhoc_query
+    rows = [ledger_row(i, "2001-01-10", "512000", "C1", "10.00") for i in range(1, 30)]
+    t = MiniTables(spark, rows, [party("C1", "x")])
+    assert adhoc_query(t, "2001-07-15", "SELECT TOP 5 * FROM VW_TRESORERIE ORDER BY ec_no").count() == 5
+    assert adhoc_query(t, "2001-07-15", "select ec_no from VW_TRESORERIE", max_rows=7).count() == 7
+    with pytest.raises(PermissionError):
+        adhoc_query(t, "2001-07-15", "SELECT * FROM VW_TRESORERIE; DROP TABLE x")
