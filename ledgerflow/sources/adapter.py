@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from . import dims
 
-D = F.lit
-
 
 def dec(v: str, p: int = 13, s: int = 2) -> Column:
     return F.lit(Decimal(v)).cast(f"decimal({p},{s})")
