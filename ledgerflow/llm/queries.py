@@ -24,3 +24,19 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pack import pack_documents
 
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def held_out() -> object:
+    """True for the rows that no classifier may learn from."""
+    from pyspark.sql import functions as F
+
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit, identify
+
+    docs = _table(spark, sf_dir, "documents")
+    found = identify(docs, fit(docs, ~held_out()))
+    return found.withColumn("held_out", held_out())
