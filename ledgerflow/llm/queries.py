@@ -40,3 +40,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = identify(docs, fit(docs, ~held_out()))
     return found.withColumn("held_out", held_out())
+
+
+@query
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .dedup import exact_dedup
+
+    rows = exact_dedup(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "keep_id", "group_size", "kept", rows["digest"].alias("text_sha256"))
+
+
+ORACLE["op4_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
