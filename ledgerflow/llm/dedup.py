@@ -37,6 +37,8 @@ def state_session(spark: SparkSession) -> SparkSession:
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # files grow as they fill: with many state partitions reserved blocks would be most of the disk used
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
