@@ -64,3 +64,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        "base_failed", "kept", "failed_rules")
+
+
+@query
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+
+    return round_trip(_table(spark, sf_dir, "pages"), min_bytes=0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mainext import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
