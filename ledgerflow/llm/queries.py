@@ -79,3 +79,10 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mainext import extract
 
     return extract(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import ngram_components
+
+    return ngram_components(_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
