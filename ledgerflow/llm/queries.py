@@ -86,3 +86,10 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import ngram_components
 
     return ngram_components(_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+@query
+def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), length=50)
