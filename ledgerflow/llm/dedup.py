@@ -125,10 +125,10 @@ def without_copies(docs: DataFrame) -> DataFrame:
     The row that stays is chosen by ``exact_dedup``; repeated rows (same
     identifier and text) leave one.
     """
-    ids = exact_dedup(docs).where("kept").select("doc_id", "digest")
-    keyed = docs.withColumn("__digest", SHA256(F.coalesce("text", F.lit(""))))
-    on = keyed["doc_id"].cast("long").eqNullSafe(ids["doc_id"]) & (keyed["__digest"] == ids["digest"])
-    stay = keyed.join(ids, on, "left_semi")
-    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        stay = stay.dropDuplicates(["doc_id", "__digest"])
-    return stay.drop("__digest")
+    ids = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("id"), "digest")
+    keyed = docs.select(F.struct("*").alias("r"), F.col("doc_id").cast("long").alias("d"),
+                        SHA256(F.coalesce("text", F.lit(""))).alias("h"))
+    stay = keyed.join(ids, F.col("d").eqNullSafe(F.col("id")) & (F.col("h") == F.col("digest")), "left_semi")
+    if not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+        stay = stay.dropDuplicates(["d", "h"])
+    return stay.select("r.*")

@@ -427,3 +427,11 @@ def ngram_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     return sizes.join(reps.select(*same, "component"), same, "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with the document of the least identifier of each component, all columns
+    unchanged; rows with a null identifier stay."""
+    others = ngram_components(docs, k, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.struct("*").alias("r"), F.col("doc_id").cast("long").alias("d"))
+    return rows.join(others, F.col("d") == F.col("id"), "left_anti").select("r.*")

@@ -213,6 +213,33 @@ def fit(docs: DataFrame, train: Column, per_language: int = 2000, seed: int = 17
     return Model(languages, code, weights, scale, shift, trust)
 
 
+def _predict(m: Model, batch: pa.RecordBatch, least_gap: float):
+    """Names, scores, ambiguity and wrong bits of a batch."""
+    lettered = np.array([bool(t and _LETTER.search(t)) for t in batch.column("text").to_pylist()], bool)
+    if not m.languages:
+        lettered[:] = False
+        best, score, gap, wrong = (np.zeros(len(lettered), int) for _ in range(4))
+    else:
+        best, score, gap, wrong = m.decode(m.margins(*text_bytes(batch.column("text"))))
+    unsure = lettered & ((gap < least_gap) | (wrong > m.corrects)) if len(m.languages) > 1 else np.zeros(len(lettered), bool)
+    names = [m.languages[i] if ok else UND for i, ok in zip(best, lettered)]
+    return names, np.where(lettered, score, 0.0), unsure, np.where(lettered, wrong, 0).astype(np.int32)
+
+
+def accepted(docs: DataFrame, model: Model, least_gap: float = 0.7, least_score: float = 0.6) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, whose language is known: not ``und``, and
+    not ambiguous with a score below ``least_score``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, score, unsure, _ = _predict(shared.value, batch, least_gap)
+            known = np.array([n != UND for n in names], bool) & ~(unsure & (score < least_score))
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def identify(docs: DataFrame, model: Model, least_gap: float = 0.7) -> DataFrame:
     """``doc_id, lang_pred, score, ambiguous, bit_errors`` for every row of ``docs``.
 
@@ -224,20 +251,11 @@ def identify(docs: DataFrame, model: Model, least_gap: float = 0.7) -> DataFrame
                         ("ambiguous", pa.bool_()), ("bit_errors", pa.int32())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for batch in batches:
-            lettered = np.array([bool(t and _LETTER.search(t)) for t in batch.column("text").to_pylist()], bool)
-            if not m.languages:
-                lettered[:] = False
-                best, score, gap, wrong = (np.zeros(len(lettered), int) for _ in range(4))
-            else:
-                best, score, gap, wrong = m.decode(m.margins(*text_bytes(batch.column("text"))))
-            unsure = lettered & ((gap < least_gap) | (wrong > m.corrects)) if len(m.languages) > 1 else np.zeros(len(lettered), bool)
-            names = [m.languages[i] if ok else UND for i, ok in zip(best, lettered)]
+            names, score, unsure, wrong = _predict(shared.value, batch, least_gap)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(names, pa.string()),
-                 pa.array(np.where(lettered, score, 0.0), pa.float64()), pa.array(unsure, pa.bool_()),
-                 pa.array(np.where(lettered, wrong, 0).astype(np.int32), pa.int32())], schema=schema)
+                [batch.column("doc_id").cast(pa.int64()), pa.array(names, pa.string()), pa.array(score, pa.float64()),
+                 pa.array(unsure, pa.bool_()), pa.array(wrong, pa.int32())], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(
         predict, "doc_id long, lang_pred string, score double, ambiguous boolean, bit_errors int")

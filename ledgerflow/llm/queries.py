@@ -93,3 +93,69 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .repeats import remove_repeats
 
     return remove_repeats(_table(spark, sf_dir, "documents"), length=50)
+
+
+@query
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+#: Weights of the mix that op7 and the pipeline's mixing stage use.
+DOMAIN_WEIGHTS = {"web": 50, "books": 30, "code": 20}
+LANGUAGE_WEIGHTS = {"en": 40, "de": 20, "es": 20, "fr": 20}
+MIX_WEIGHTS = {"domain": DOMAIN_WEIGHTS, "lang": LANGUAGE_WEIGHTS}
+
+
+@query
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .mixing import mix_sources, source_domain
+
+    mixed = mix_sources(_table(spark, sf_dir, "documents"), MIX_WEIGHTS, source_domain(F.col("source")), share=0.6, epochs=2, seed=7)
+    return mixed.select("r.doc_id", "domain", "r.lang", "r.source", "n_tokens", "copies")
+
+
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+
+def _weight_sql(weights: dict[str, int], name: str) -> str:
+    return f"CASE {name} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 0 END"
+
+
+def _fill_sql(level: str, parents: str, path: str, weight: str, above: str) -> str:
+    """One level of the budget tree: capacities, water level, shares."""
+    part = f"PARTITION BY {parents}" if parents else ""
+    return f"""
+  {level}_c AS (SELECT {path}, sum(supply) * 2 AS capacity, any_value(share) AS budget,
+                       ({weight})::DOUBLE AS weight FROM {above} GROUP BY {path}),
+  {level}_r AS (SELECT *, CASE WHEN weight > 0 THEN capacity / weight ELSE 'inf'::DOUBLE END AS ratio FROM {level}_c),
+  {level}_l AS (SELECT *, row_number() OVER ({part} ORDER BY ratio, {path.split(',')[-1]}) AS place,
+                  (budget - coalesce(sum(capacity) OVER ({part} ORDER BY ratio, {path.split(',')[-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                  / nullif(sum(weight) OVER ({part} ORDER BY ratio, {path.split(',')[-1]} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS lvl
+                FROM {level}_r),
+  {level}_w AS (SELECT *, arg_min(lvl, CASE WHEN lvl <= ratio THEN place END) OVER ({part}) AS water FROM {level}_l),
+  {level} AS (SELECT t.* EXCLUDE (share), CASE WHEN water IS NULL THEN capacity ELSE least(capacity, weight * water) END AS share
+              FROM {above} t JOIN {level}_w w USING ({path}))"""
+
+
+ORACLE["op7_source_mixing"] = f"""
+WITH rows_ AS (
+    SELECT doc_id, lang, source, len({_WORDS}) AS n_tokens, coalesce(lang, '') AS l, coalesce(source, '') AS s,
+           CASE regexp_extract(coalesce(source, ''), '(\\d+)', 1) WHEN '' THEN 'web' ELSE
+             ['web', 'books', 'code'][right(regexp_extract(coalesce(source, ''), '(\\d+)', 1), 9)::INT % 3 + 1] END AS d FROM documents),
+  top AS (SELECT d, l, s, sum(n_tokens)::BIGINT AS supply, floor(sum(sum(n_tokens)) OVER () * 0.6)::DOUBLE AS share FROM rows_ GROUP BY d, l, s),
+  {_fill_sql('lv1', '', 'd', _weight_sql(DOMAIN_WEIGHTS, 'd'), 'top')},
+  {_fill_sql('lv2', 'd', 'd, l', _weight_sql(LANGUAGE_WEIGHTS, 'l'), 'lv1')},
+  {_fill_sql('lv3', 'd, l', 'd, l, s', '1', 'lv2')},
+  spend AS (SELECT *, floor(share + 1e-6)::BIGINT AS tokens FROM lv3),
+  cut AS (SELECT d, l, s, CASE WHEN supply > 0 THEN tokens // supply ELSE 0 END AS whole,
+                 tokens - CASE WHEN supply > 0 THEN tokens // supply ELSE 0 END * supply AS rest FROM spend),
+  placed AS (SELECT r.*, whole, rest, sum(n_tokens) OVER (PARTITION BY d, l, s ORDER BY
+               ('0x' || substr(md5('7:' || whole || ':' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT, doc_id, n_tokens) AS upto
+             FROM rows_ r JOIN cut USING (d, l, s))
+SELECT doc_id, d AS domain, lang, source, n_tokens::BIGINT AS n_tokens,
+       whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS copies FROM placed
+"""

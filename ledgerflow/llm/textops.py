@@ -96,11 +96,12 @@ def powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True):
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True, between: np.ndarray = _SPACE):
     """Words of the documents between ``offsets`` (absolute positions in ``raw``).
 
-    Returns 64-bit hashes, the document index of each word, and start and end
-    byte (relative to the first offset).
+    ``between`` says which byte values separate words.  Returns 64-bit hashes,
+    the document index of each word, and start and end byte (relative to the
+    first offset).
     """
     base = int(offsets[0])
     b = raw[base:int(offsets[-1])]
@@ -108,7 +109,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True):
     if not n:
         z = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), z, z, z
-    inside = ~_SPACE[b]
+    inside = ~between[b]
     first = np.zeros(n + 1, bool)
     first[np.asarray(offsets) - base] = True
     before = np.empty(n, bool)
