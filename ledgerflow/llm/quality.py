@@ -14,9 +14,10 @@ share of good rows rejected is shown to be small:
   strata and rules Bonferroni's correction applies.  So with probability
   1 - delta no stratum loses more than ``alpha`` of its good rows to all
   rules together;
-* of the cutoffs that passed, the one with the largest gain (bad rows caught
-  less ``price`` times good rows lost) is used, the most lenient of equals;
-  a rule without gain, or with too few holdout rows to pass, rejects nothing.
+* rules choose one after the other; of the cutoffs that passed, the one with the
+  largest gain (bad rows caught less ``price`` times good rows lost, of those
+  that earlier rules let pass) is used, the most lenient of equals; a rule
+  without gain, or with too few holdout rows to pass, rejects nothing.
 
 Only DataFrame and SQL operations run here.  Null and empty texts have no words
 (and fail the base rules); null strata form a stratum of their own; strata
@@ -27,6 +28,7 @@ judged one by one, tables without rows give no rows, other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import log, pi
 
 from pyspark.sql import Column, DataFrame
@@ -105,19 +107,24 @@ def log_gamma(x: Column) -> Column:
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
     """P(Bin(n, p) <= k) as P(X = k) times the sum of the falling ratios P(X = k - j) / P(X = k).
 
-    The ratios are cut off 12 standard deviations (and 60 terms) below k,
-    where they are zero in double precision.
+    The tail is 1 in double precision beyond 12 standard deviations (and 60)
+    above the mean; up to there the ratios are followed as far below the mean.
     """
     k, n = k.cast("double"), n.cast("double")
+    wide = F.ceil(12 * F.sqrt(n * p)) + 60
     at_k = log_gamma(n + 1) - log_gamma(k + 1) - log_gamma(n - k + 1) + k * log(p) + (n - k) * log(1 - p)
-    terms = F.least(k, F.ceil(12 * F.sqrt(n * p)) + 60).cast("int")
+    terms = F.least(k, F.greatest(k - n * p, F.lit(0.0)) + wide).cast("int")
     total = F.aggregate(
         F.when(terms > 0, F.sequence(F.lit(0), terms - 1)).otherwise(F.array().cast("array<int>")),
         F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")),
         lambda s, j: F.struct((s["term"] * (k - j) / (n - k + j + 1) * (1 - p) / p).alias("term"),
                               (s["sum"] + s["term"] * (k - j) / (n - k + j + 1) * (1 - p) / p).alias("sum")),
         lambda s: s["sum"])
-    return F.least(F.lit(1.0), F.exp(at_k + F.log(total)))
+    return F.when(k > n * p + wide, 1.0).otherwise(F.least(F.lit(1.0), F.exp(at_k + F.log(total))))
+
+
+def _passes(value: Column, cutoffs: list[float]) -> Column:
+    return F.size(F.filter(F.array(*[F.lit(c) for c in cutoffs]), lambda c: c > value))
 
 
 def calibrate(measured: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.02,
@@ -127,35 +134,38 @@ def calibrate(measured: DataFrame, labels: DataFrame, stratum: str = "lang", alp
     ``labels`` has ``doc_id`` and ``quality`` (1 good, 0 bad).
     """
     found = rules()
-    label = labels.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("good"))
-    held = measured.where(~base_failed()).select("doc_id", F.col(stratum).alias("stratum"), F.explode(F.array(*[
-        F.struct(F.lit(name).alias("rule"),
-                 # how many cutoffs, lenient first, let the row pass
-                 F.size(F.filter(F.array(*[F.lit(c) for c in cutoffs]), lambda c, v=value: c > v)).alias("passes"))
-        for name, (value, cutoffs) in found.items()])).alias("x")).join(label, "doc_id")
-    counts = held.groupBy("stratum", "x.rule", "x.passes").agg(
-        F.sum(F.when(F.col("good") >= 1, 1).otherwise(0)).alias("good"),
-        F.sum(F.when(F.col("good") >= 1, 0).otherwise(1)).alias("bad"))
-    # from here on: strata x rules x cutoffs rows
-    cutoffs = F.array(*[F.struct(F.lit(name).alias("rule"), F.array(*[F.lit(c) for c in cs]).alias("cutoffs"))
-                        for name, (_, cs) in found.items()])
-    each = Window.partitionBy("stratum", "rule")
-    steps = (counts.groupBy("stratum", "rule").agg(F.sum("good").alias("n"),
-                                                   F.collect_list(F.struct("passes", "good", "bad")).alias("cells"))
-             .withColumn("of", F.filter(cutoffs, lambda x: x["rule"] == F.col("rule"))[0]["cutoffs"])
-             .select("stratum", "rule", "n", "cells", F.posexplode("of").alias("step", "cutoff"))
-             .withColumn("mine", F.filter("cells", lambda x: x["passes"] <= F.col("step")))
-             .withColumn("lost", F.aggregate("mine", F.lit(0).cast("long"), lambda t, x: t + x["good"]))
-             .withColumn("caught", F.aggregate("mine", F.lit(0).cast("long"), lambda t, x: t + x["bad"])))
-    tests = F.lit(counts.select("stratum").distinct().select(F.count(F.lit(1))).scalar()) * len(found)
-    passed = (steps.withColumn("p_value", binomial_tail(F.col("lost"), F.col("n"), alpha / len(found)))
-              .withColumn("failed", F.max(F.when(F.col("p_value") > delta / tests, 1).otherwise(0)).over(
-                  each.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)))
-              .where("failed = 0")
-              .withColumn("gain", F.col("caught") - price * F.col("lost")))
-    best = passed.where("gain > 0").groupBy("stratum", "rule").agg(F.max(F.struct(
-        F.col("gain"), (-F.col("step")).alias("lenient"), "cutoff", F.col("n").alias("good"), "lost", "caught", "p_value")).alias("b"))
-    return best.select("stratum", "rule", "b.cutoff", "b.good", "b.lost", "b.caught", "b.p_value")
+    label = labels.where("quality is not null").groupBy("doc_id").agg((F.max("quality") >= 1).alias("good"))
+    # per rule: how many cutoffs, lenient first, let the row pass
+    passes = {f"passes_{name}": _passes(value, cutoffs) for name, (value, cutoffs) in found.items()}
+    held = stored(measured.where(~base_failed()).withColumns(passes).join(label, "doc_id")
+                  .select(F.col(stratum).alias("stratum"), "good", *passes), "holdout")
+    level = delta / (max(held.select("stratum").distinct().count(), 1) * len(found))
+    chosen, caught = [], F.lit(False)
+    for name, (_, cutoffs) in found.items():
+        own = F.col(f"passes_{name}")
+        count = lambda what: F.sum(F.when(what, 1).otherwise(0))
+        cells = held.groupBy("stratum", own.alias("passes")).agg(
+            count(F.col("good")).alias("good"), count(F.col("good") & ~caught).alias("new_good"),
+            count(~F.col("good") & ~caught).alias("new_bad"))
+        # from here on: strata x cutoffs rows
+        sums = lambda field: F.aggregate("mine", F.lit(0).cast("long"), lambda t, x: t + x[field])
+        steps = (cells.groupBy("stratum").agg(F.sum("good").alias("n"), F.collect_list(F.struct("passes", "good", "new_good", "new_bad")).alias("cells"))
+                 .select("stratum", "n", "cells", F.posexplode(F.array(*[F.lit(c) for c in cutoffs])).alias("step", "cutoff"))
+                 .withColumn("mine", F.filter("cells", lambda x: x["passes"] <= F.col("step")))
+                 .withColumn("lost", sums("good"))
+                 .withColumn("p_value", binomial_tail(F.col("lost"), F.col("n"), alpha / len(found)))
+                 .withColumn("failed", F.max(F.when(F.col("p_value") > level, 1).otherwise(0)).over(
+                     Window.partitionBy("stratum").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)))
+                 .withColumn("caught", sums("new_bad")).withColumn("gain", F.col("caught") - price * sums("new_good")))
+        best = stored(steps.where("failed = 0 and gain > 0").groupBy("stratum").agg(F.max(F.struct(
+            F.col("gain"), (-F.col("step")).alias("lenient"), "cutoff", F.col("n").alias("good"), "lost", "caught", "p_value")).alias("b"))
+            .select("stratum", F.lit(name).alias("rule"), "b.cutoff", "b.good", "b.lost", "b.caught", "b.p_value",
+                    (-F.col("b.lenient")).alias("step")), "cutoffs")
+        chosen.append(best.drop("step"))
+        mine = best.select(F.col("stratum").alias("s"), F.col("step").alias(f"step_{name}"))
+        held = held.join(mine, F.col("stratum").eqNullSafe(F.col("s")), "left").drop("s")
+        caught = caught | F.coalesce(own <= F.col(f"step_{name}"), F.lit(False))
+    return reduce(DataFrame.unionByName, chosen)
 
 
 def apply_cutoffs(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
