@@ -86,7 +86,7 @@ def _fill(children: DataFrame, parents: list[str], child: str) -> DataFrame:
               .withColumn("level", F.when(F.col("weights") > 0, (F.col("budget") - F.col("filled")) / F.col("weights"))))
     first = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("place", "level"))).over(Window.partitionBy(*parents))
     return (levels.withColumn("water", first["level"])
-            .withColumn("share", F.when(F.col("water").isNull(), F.col("capacity").cast("double"))
+            .withColumn("share", F.when(F.col("weight") <= 0, F.lit(0.0)).when(F.col("water").isNull(), F.col("capacity").cast("double"))
                         .otherwise(F.least(F.col("capacity").cast("double"), F.col("weight") * F.col("water"))))
             .drop("ratio", "filled", "weights", "place", "level", "water"))
 
@@ -94,15 +94,17 @@ def _fill(children: DataFrame, parents: list[str], child: str) -> DataFrame:
 def leaf_budgets(leaves: DataFrame, weights: Mapping[str, Mapping[str, float]], budget: Column, epochs: int) -> DataFrame:
     """``leaves`` (``__domain, __lang, __source, supply``) with ``tokens``: the whole tokens a leaf may spend."""
     names = [f"__{x}" for x in LEVELS]
-    found = leaves.withColumn("share", budget.cast("double"))
+    weight = {n: _weight(weights.get(x, {}), 0 if weights.get(x) else 1, n) for n, x in zip(names, LEVELS)}
+    # what lies under a weight of 0 can't be used, at any level
+    usable = F.when(F.least(*weight.values()) > 0, F.col("supply") * epochs).otherwise(0)
+    found = leaves.withColumn("share", budget.cast("double")).withColumn("usable", usable)
     for depth, name in enumerate(names):
         parents, path = names[:depth], names[:depth + 1]
-        w = weights.get(LEVELS[depth], {})
-        children = found.groupBy(*path).agg((F.sum("supply") * epochs).alias("capacity"), F.first("share").alias("budget"))
-        children = children.withColumn("weight", _weight(w, 0 if w else 1, name))
+        children = found.groupBy(*path).agg(F.sum("usable").alias("capacity"), F.first("share").alias("budget"))
+        children = children.withColumn("weight", weight[name])
         children = _fill(children, parents, name)
-        found = leaves.join(children.select(*path, "share"), path)
-    return found.withColumn("tokens", F.floor(F.col("share") + F.lit(1e-6)).cast("long")).drop("share")
+        found = leaves.withColumn("usable", usable).join(children.select(*path, "share"), path)
+    return found.withColumn("tokens", F.floor(F.col("share") + F.lit(1e-6)).cast("long")).drop("share", "usable")
 
 
 def _small(df: DataFrame, name: str) -> DataFrame:

@@ -129,7 +129,7 @@ def _fill_sql(level: str, parents: str, path: str, weight: str, above: str) -> s
     """One level of the budget tree: capacities, water level, shares."""
     part = f"PARTITION BY {parents}" if parents else ""
     return f"""
-  {level}_c AS (SELECT {path}, sum(supply) * 2 AS capacity, any_value(share) AS budget,
+  {level}_c AS (SELECT {path}, sum(usable) AS capacity, any_value(share) AS budget,
                        ({weight})::DOUBLE AS weight FROM {above} GROUP BY {path}),
   {level}_r AS (SELECT *, CASE WHEN weight > 0 THEN capacity / weight ELSE 'inf'::DOUBLE END AS ratio FROM {level}_c),
   {level}_l AS (SELECT *, row_number() OVER ({part} ORDER BY ratio, {path.split(',')[-1]}) AS place,
@@ -137,7 +137,7 @@ def _fill_sql(level: str, parents: str, path: str, weight: str, above: str) -> s
                   / nullif(sum(weight) OVER ({part} ORDER BY ratio, {path.split(',')[-1]} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS lvl
                 FROM {level}_r),
   {level}_w AS (SELECT *, arg_min(lvl, CASE WHEN lvl <= ratio THEN place END) OVER ({part}) AS water FROM {level}_l),
-  {level} AS (SELECT t.* EXCLUDE (share), CASE WHEN water IS NULL THEN capacity ELSE least(capacity, weight * water) END AS share
+  {level} AS (SELECT t.* EXCLUDE (share), CASE WHEN weight <= 0 THEN 0 WHEN water IS NULL THEN capacity ELSE least(capacity, weight * water) END AS share
               FROM {above} t JOIN {level}_w w USING ({path}))"""
 
 
@@ -146,7 +146,9 @@ WITH rows_ AS (
     SELECT doc_id, lang, source, len({_WORDS}) AS n_tokens, coalesce(lang, '') AS l, coalesce(source, '') AS s,
            CASE regexp_extract(coalesce(source, ''), '(\\d+)', 1) WHEN '' THEN 'web' ELSE
              ['web', 'books', 'code'][right(regexp_extract(coalesce(source, ''), '(\\d+)', 1), 9)::INT % 3 + 1] END AS d FROM documents),
-  top AS (SELECT d, l, s, sum(n_tokens)::BIGINT AS supply, floor(sum(sum(n_tokens)) OVER () * 0.6)::DOUBLE AS share FROM rows_ GROUP BY d, l, s),
+  top AS (SELECT d, l, s, sum(n_tokens)::BIGINT AS supply, floor(sum(sum(n_tokens)) OVER () * 0.6)::DOUBLE AS share,
+                 CASE WHEN least({_weight_sql(DOMAIN_WEIGHTS, 'd')}, {_weight_sql(LANGUAGE_WEIGHTS, 'l')}) > 0
+                      THEN sum(n_tokens) * 2 ELSE 0 END AS usable FROM rows_ GROUP BY d, l, s),
   {_fill_sql('lv1', '', 'd', _weight_sql(DOMAIN_WEIGHTS, 'd'), 'top')},
   {_fill_sql('lv2', 'd', 'd, l', _weight_sql(LANGUAGE_WEIGHTS, 'l'), 'lv1')},
   {_fill_sql('lv3', 'd, l', 'd, l, s', '1', 'lv2')},
