@@ -5,23 +5,17 @@ whole table) into one task:
 
 * ``scalar``            - whole-table aggregate as a scalar subquery (no
                           unpartitioned window, no cross join).
-* ``attach_group_totals`` - SUM(..) OVER (PARTITION BY k) as partial
-                          aggregation + join back; AQE broadcasts the
-                          aggregate when its measured size is small and
-                          splits skewed keys otherwise.
 * ``distributed_row_number`` - global ROW_NUMBER over a total order via range
                           partitioning, per-partition counts and offsets.
-* ``running_sum``       - ROWS UNBOUNDED PRECEDING running sum in two levels
-                          (per day, then inside the day).
+* ``value_rank``        - global rank by a value, planned lazily: counts per
+                          order-preserving cell, then a window inside a cell.
 * ``forward_range_sum`` - SUM over [d, d+N] days via a RANGE frame on the
                           per-day aggregate.
-* ``latest_per_key``    - last value per key with ``max_by`` (no sort).
+* ``without_null_skew``  - left join on a key that is often NULL.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,21 +34,39 @@ def scalars(df: DataFrame, **exprs: Column) -> dict[str, Column]:
     return {k: s.getField(k) for k in exprs}
 
 
-def attach_group_totals(df: DataFrame, keys: list[str], aggs: dict[str, Column],
-                        null_safe: bool = True) -> DataFrame:
-    """Add per-key aggregates to every row (window PARTITION BY semantics).
+def value_rank(df: DataFrame, value: str, tie: str, name: str) -> DataFrame:
+    """ROW_NUMBER() OVER (ORDER BY value DESC, tie ASC NULLS LAST), without a job
+    while the plan is built and without a window over the whole frame.
 
-    ``null_safe`` keeps rows whose key is NULL in their own group, as a
-    window partition would.
+    Rows fall into steps of the value that keep its order (64 per power of
+    two, so their number is bounded by the number format), and inside a step
+    into cells of one value and one prefix of the tie-breaker.  Steps and cells
+    are counted; only rows of one cell are ordered, so a value that very many
+    rows share is not one task's.
     """
-    renamed = {k: f"__gk_{i}" for i, k in enumerate(keys)}
-    totals = df.groupBy(*[F.col(k).alias(renamed[k]) for k in keys]).agg(
-        *[c.alias(n) for n, c in aggs.items()])
-    if null_safe:
-        cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(totals[renamed[k]]) for k in keys])
-    else:
-        cond = reduce(lambda a, b: a & b, [df[k] == totals[renamed[k]] for k in keys])
-    return df.join(totals, cond, "left").drop(*renamed.values())
+    v = F.coalesce(F.col(value).cast("double"), F.lit(float("-inf")))
+    step = F.floor(F.signum(v) * F.least(F.log2(F.abs(v) + 1), F.lit(1100.0)) * 64).cast("int")
+    last = F.lit("\U0010ffff")
+    celled = (df.withColumn("__step", step).withColumn("__value", v)
+              .withColumn("__cell", F.coalesce(F.substring(tie, 1, 5), last)))
+    cells = celled.groupBy("__step", "__value", "__cell").agg(F.count(F.lit(1)).alias("__n"))
+    steps = cells.groupBy("__step").agg(F.sum("__n").alias("__n"))
+    before = lambda w: F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    steps = steps.select("__step", before(Window.orderBy(F.col("__step").desc())).alias("__above"))
+    inner = Window.partitionBy("__step").orderBy(F.col("__value").desc(), "__cell")
+    cells = cells.select("__step", "__value", "__cell", before(inner).alias("__left")).join(steps, "__step")
+    inside = Window.partitionBy("__step", "__value", "__cell").orderBy(F.col(value).desc(), F.col(tie).asc_nulls_last())
+    return (celled.join(cells, ["__step", "__value", "__cell"])
+            .withColumn(name, (F.col("__above") + F.col("__left") + F.row_number().over(inside)).cast("long"))
+            .drop("__step", "__value", "__cell", "__above", "__left"))
+
+
+def without_null_skew(df: DataFrame, other: DataFrame, key: str, spread: str) -> DataFrame:
+    """Left join on ``key``; rows whose key is NULL match nothing and are dealt out
+    by ``spread`` instead of meeting in one task of a sort-merge join."""
+    around = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(spread), F.lit(4096)).cast("string"))
+    named = other.withColumnRenamed(key, "__key")
+    return df.join(named, F.coalesce(F.col(key), around) == F.col("__key"), "left").drop("__key")
 
 
 def distributed_row_number(df: DataFrame, order: list[Column], name: str = "row_num",
@@ -91,27 +103,6 @@ def distributed_row_number(df: DataFrame, order: list[Column], name: str = "row_
               .drop("__mid", "__pid", "__pos", "__off")
 
 
-def running_sum(df: DataFrame, value: str, partition: list[str], day: str, tiebreak: list[str],
-                out: str) -> DataFrame:
-    """SUM(value) OVER (PARTITION BY partition ORDER BY day, tiebreak ROWS UNBOUNDED PRECEDING).
-
-    Level 1 sums per (partition, day) and runs a window over days only (at
-    most one row per day per partition).  Level 2 runs inside each
-    (partition, day), so no task holds more than one day of one partition.
-    """
-    daily = df.groupBy(*partition, day).agg(F.sum(value).alias("__day_sum"))
-    w_days = Window.partitionBy(*partition).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    before = daily.select(*partition, day,
-                          F.coalesce(F.sum("__day_sum").over(w_days), F.lit(0)).alias("__before"))
-    w_in = Window.partitionBy(*partition, day).orderBy(*tiebreak).rowsBetween(Window.unboundedPreceding, 0)
-    joined = df.join(before, [*partition, day], "left")
-    return joined.withColumn(out, F.col("__before") + F.sum(value).over(w_in)).drop("__before")
-
-
-def daily_frame(df: DataFrame, value: str, partition: list[str], day: str) -> DataFrame:
-    return df.groupBy(*partition, day).agg(F.sum(value).alias("__day_sum"))
-
-
 def forward_range_sums(daily: DataFrame, partition: list[str], day: str, horizons: dict[str, int]) -> DataFrame:
     """On a per-(partition, day) frame, add SUM over days [d, d+N] for each horizon."""
     base = Window.partitionBy(*partition).orderBy(F.unix_date(F.col(day)))
@@ -119,38 +110,3 @@ def forward_range_sums(daily: DataFrame, partition: list[str], day: str, horizon
     for name, n in horizons.items():
         out = out.withColumn(name, F.sum("__day_sum").over(base.rangeBetween(0, n)))
     return out
-
-
-def latest_per_key(df: DataFrame, keys: list[str], order_col: str, values: list[str]) -> DataFrame:
-    """Value of the row with the greatest ``order_col`` per key (max_by)."""
-    return df.groupBy(*keys).agg(*[F.max_by(v, order_col).alias(v) for v in values],
-                                 F.max(order_col).alias(order_col))
-
-
-_TYPE_BYTES = {"string": 24, "binary": 24, "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8,
-               "integer": 4, "float": 4, "date": 4, "short": 2, "byte": 1, "boolean": 1}
-BROADCAST_MAX_BYTES = 64 << 20
-
-
-def _row_bytes(df: DataFrame) -> int:
-    size = 16
-    for f in df.schema.fields:
-        name = f.dataType.typeName()
-        size += 16 if name == "decimal" else _TYPE_BYTES.get(name, 32)
-    return size
-
-
-def size_checked(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, cache: bool = False) -> DataFrame:
-    """Broadcast ``df`` only after MEASURING it: row count x estimated row
-    width must be under ``max_bytes`` (64 MB); otherwise the frame is
-    returned as is and the join stays a sort-merge join (with AQE skew
-    splitting).  ``cache=True`` keeps a computed frame for the join, so it
-    is not computed twice (once for the check, once for the join)."""
-    if cache:
-        df = df.persist()
-    n = df.count()
-    if n * _row_bytes(df) <= max_bytes:
-        return F.broadcast(df)
-    if cache:
-        df.unpersist()
-    return df

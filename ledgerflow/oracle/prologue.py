@@ -59,7 +59,7 @@ _legs AS (
 _ledger AS (
     SELECT
         CAST(((((ok * 8 + ln) * 100000 + pk) * 10000 + sk) * 4 + dup) * 16 + leg AS BIGINT) AS ec_no,
-        concat({_list(["FA", "FA", "FA", "RG", "AC", "AC", "OD", "RG", "FA"])}[leg + 1], CAST(ok AS VARCHAR)) AS ec_piece,
+        concat({_list(A.LEG_PREFIXES)}[leg + 1], CAST(ok AS VARCHAR)) AS ec_piece,
         ec_date,
         CASE WHEN leg IN (0, 8) THEN CASE WHEN pk % 10 = 0 THEN '411100' ELSE '411000' END
              WHEN leg = 1 THEN CASE WHEN pk % 97 = 0 THEN '190000'
@@ -72,7 +72,7 @@ _ledger AS (
              WHEN leg = 7 THEN '512000' END AS cg_num,
         CASE WHEN leg IN (0, 1, 3, 8) THEN concat('C', CAST(ck AS VARCHAR))
              WHEN leg IN (4, 5, 7) THEN concat('S', CAST(sk AS VARCHAR)) END AS ct_num,
-        {_list(["VT", "VT", "VT", "BQ", "AC", "AC", "OD", "BQ", "VT"])}[leg + 1] AS jo_num,
+        {_list(A.LEG_JOURNALS)}[leg + 1] AS jo_num,
         {_list(A.LEG_LABELS)}[leg + 1] AS ec_intitule,
         CASE WHEN leg = 6 AND pk % 89 = 0 THEN CAST(0.50 AS DECIMAL(13,2))
              WHEN leg = 6 AND pk % 53 = 0 THEN CAST(1000.00 AS DECIMAL(13,2))
@@ -167,7 +167,7 @@ f_article AS (
            CASE WHEN p_size = 1 THEN NULL ELSE CAST(1.8182 AS DECIMAL(7,4)) END AS ar_coef,
            'U' AS ar_uniteven, CAST(1 AS SMALLINT) AS ar_suivistock,
            CAST(CASE WHEN p_size = 50 THEN 1 WHEN p_size = 49 THEN NULL ELSE 0 END AS SMALLINT) AS ar_sommeil,
-           CAST(p_partkey AS BIGINT) AS cbmarq, TIMESTAMP '{A.MASTER_TS}' AS cbmodification
+           CAST(p_partkey + 1 AS BIGINT) AS cbmarq, TIMESTAMP '{A.MASTER_TS}' AS cbmodification
     FROM part
 ),
 _stock AS (
@@ -274,7 +274,17 @@ calendar AS (
         CASE WHEN dayofweek(d) + 1 IN (1, 7) THEN 1 ELSE 0 END AS est_weekend
     FROM (SELECT CAST(unnest(generate_series(DATE '{A.TEST_CAL_START}', DATE '{A.TEST_CAL_END}', INTERVAL 1 DAY))
                  AS DATE) AS d)
-)"""
+),
+-- every ledger row with what the oracles measure: both signs, the account's
+-- roots, its mapping row, age at the reference date, year and month
+led AS (
+    SELECT e.*, e.ec_montant * (2 * (e.ec_sens = 0)::INT - 1) AS db, e.ec_montant * (2 * (e.ec_sens = 1)::INT - 1) AS cr,
+           e.cg_num[1:1] AS r1, e.cg_num[1:2] AS r2, e.cg_num[1:3] AS r3, DATE '{A.AS_OF}' - e.ec_date AS age,
+           year(e.ec_date)::INT AS y, month(e.ec_date)::INT AS mo, trim(coalesce(e.ec_lettrage, '')) = '' AS open_item,
+           m AS map_row
+    FROM f_ecriturec e LEFT JOIN mapping m ON TRY_CAST(e.cg_num[1:2] AS INT) = TRY_CAST(m.compte_debut AS INT)
+),
+party AS (SELECT ct_num, ct_intitule AS party_name, f_comptet AS ct FROM f_comptet)"""
 
 
 def with_prologue(sql: str) -> str:

@@ -7,6 +7,7 @@ reads the two dictionaries so Spark keys and oracle keys cannot drift.
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,15 +16,19 @@ from .sources.adapter import AS_OF, ErpTables
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLE: dict[str, str | Callable[[], str]] = {}
-_TABLES: dict[tuple, ErpTables] = {}
+# per session (a stopped session's frames go with it), by input folder
+_TABLES: WeakKeyDictionary[SparkSession, dict[str, ErpTables]] = WeakKeyDictionary()
 
 
 def tables(spark: SparkSession, sf_dir: str) -> ErpTables:
     """One lazily-derived set of ERP tables per session and input folder."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _TABLES:
-        _TABLES[key] = ErpTables(spark, sf_dir)
-    return _TABLES[key]
+    own = _TABLES.setdefault(spark, {})
+    return own.setdefault(sf_dir.rstrip("/"), ErpTables(spark, sf_dir))
+
+
+def use_tables(spark: SparkSession, sf_dir: str, stored: ErpTables) -> None:
+    """Let the queries of this session and folder read stored tables."""
+    _TABLES.setdefault(spark, {})[sf_dir.rstrip("/")] = stored
 
 
 def register(name: str, oracle: str | None = None, raw: bool = False):

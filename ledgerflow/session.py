@@ -23,7 +23,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.sources.fileCompressionFactor": "4.0",
-    "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -48,18 +47,19 @@ def build_session(master: str | None = None, app: str = "ledgerflow",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it to a shared file system; only when it is unset (local
-    tests) a fresh scratch folder is created and registered.
+    A cluster sets it to a shared file system; only a local master may leave
+    it unset (tests), and then gets a fresh scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -39,46 +39,23 @@ def by_leg(leg: Column, mapping: dict, default=None) -> Column:
 
 # Fixed values of the test adapter (FIXTURES.md 3.1 / 3.2).
 JOURNALS = [
-    ("VT", "Journal des ventes", 1),
-    ("BQ", "Banque", 2),
-    ("AC", "Journal des achats", 0),
-    ("OD", "Operations diverses", 3),
-    ("CA", "Caisse", 2),
-    ("AN", "A nouveaux", 4),
+    ("JV", "Livre des ventes", 1), ("JB", "Livre de banque", 2), ("JA", "Livre des achats", 0), ("JD", "Ecritures diverses", 3),
+    ("JC", "Livre de caisse", 2), ("JN", "Report a nouveau", 4),
 ]
-ACCOUNTS = [
-    ("401000", "Fournisseurs"),
-    ("411000", "Clients"),
-    ("411100", "Clients grands comptes"),
-    ("445710", "TVA collectee"),
-    ("451000", "Groupe"),
-    ("512000", "Banque principale"),
-    ("512100", "Banque secondaire"),
-    ("530000", "Caisse"),
-    ("600000", "Achats marchandises"),
-    ("601000", "Achats matieres"),
-    ("611000", "Sous-traitance"),
-    ("622600", "Honoraires"),
-    ("641000", "Remunerations"),
-    ("645000", "Charges sociales"),
-    ("661000", "Charges d'interets"),
-    ("681000", "Dotations amortissements"),
-    ("701000", "Ventes produits finis"),
-    ("701100", "Ventes export"),
-    ("706000", "Prestations de services"),
-    ("707000", "Ventes marchandises"),
-    ("708500", "Ports factures"),
-]
-DEPOTS = [(0, "Depot principal"), (1, "Depot secondaire")]
-ANALYTIC = [
-    ("1GRO", 1, "Gros"), ("1DET", 1, "Detail"), ("1EXP", 1, "Export"), ("1SAV", 1, "Service apres vente"),
-    ("2R0", 2, "Region 0"), ("2R1", 2, "Region 1"), ("2R2", 2, "Region 2"), ("2R3", 2, "Region 3"),
-    ("2R4", 2, "Region 4"), ("1GRO", 2, "Gros (axe region)"),
-]
-PLAN1_CODES = ["1GRO", "1DET", "1EXP", "1SAV"]
+# account numbers the leg rules use; the label is made from the number
+ACCOUNT_NUMBERS = ["401000", "411000", "411100", "445710", "451000", "512000", "512100", "530000", "600000", "601000", "611000",
+                   "622600", "641000", "645000", "661000", "681000", "701000", "701100", "706000", "707000", "708500"]
+ACCOUNTS = [(n, f"Compte {n[:3]}.{n[3:]}") for n in ACCOUNT_NUMBERS]
+DEPOTS = [(0, "Site A"), (1, "Site B")]
+PLAN1_CODES = ["1NORD", "1SUD", "1EST", "1OUEST"]
+# one code stands under both plans on purpose
+ANALYTIC = ([(c, 1, f"Zone {c[1:].lower()}") for c in PLAN1_CODES] + [(f"2R{i}", 2, f"Region {i}") for i in range(5)]
+            + [(PLAN1_CODES[0], 2, "Zone nord (second plan)")])
 DOC_TYPES = [0, 1, 3, 5, 6, 7, 11, 13, 16, 20]
-LEG_LABELS = ["Facture client", "Vente", "TVA collectee", "Reglement client", "Achat",
-              "Dette fournisseur", "Charge diverse", "Reglement fournisseur", "Facture client (copie)"]
+LEG_LABELS = ["Piece client", "Produit", "Taxe", "Paiement recu", "Approvisionnement",
+              "Piece fournisseur", "Frais", "Paiement emis", "Piece client bis"]
+LEG_JOURNALS = ["JV", "JV", "JV", "JB", "JA", "JA", "JD", "JB", "JV"]
+LEG_PREFIXES = ["PV", "PV", "PV", "PB", "PA", "PA", "PD", "PB", "PV"]
 MASTER_TS = "2001-06-30 00:00:00"
 
 
@@ -191,8 +168,8 @@ class ErpTables:
         cust = F.concat(F.lit("C"), ck.cast("string"))
         supp = F.concat(F.lit("S"), sk.cast("string"))
         ct_num = by_leg(leg, {(0, 1, 3, 8): cust, (4, 5, 7): supp})
-        jo = pick(leg, ["VT", "VT", "VT", "BQ", "AC", "AC", "OD", "BQ", "VT"])
-        prefix = pick(leg, ["FA", "FA", "FA", "RG", "AC", "AC", "OD", "RG", "FA"])
+        jo = pick(leg, LEG_JOURNALS)
+        prefix = pick(leg, LEG_PREFIXES)
         sens = F.when(leg.isin(0, 3, 4, 6, 8), F.lit(0)).otherwise(F.lit(1)).cast("short")
         lettrage = (F.when((leg.isin(0, 3) & (rf == "R")) | (leg.isin(5, 7) & (rf == "A")), F.lit("LT"))
                     .when(ln == 7, F.lit("")))
@@ -345,7 +322,7 @@ class ErpTables:
             F.lit(1).cast("short").alias("ar_suivistock"),
             F.when(F.col("p_size") == 50, F.lit(1)).when(F.col("p_size") == 49, F.lit(None))
             .otherwise(F.lit(0)).cast("short").alias("ar_sommeil"),
-            F.col("p_partkey").cast("long").alias("cbmarq"),
+            (F.col("p_partkey") + 1).cast("long").alias("cbmarq"),
             F.lit(MASTER_TS).cast("timestamp_ntz").alias("cbmodification"),
         )
 

@@ -5,8 +5,8 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.patterns import (attach_group_totals, distributed_row_number, forward_range_sums,
-                                           running_sum, scalar, scalars)
+from ledgerflow.operators.patterns import (distributed_row_number, forward_range_sums, scalar, scalars, value_rank,
+                                           without_null_skew)
 
 
 def _frame(spark, n=2000, seed=7):
@@ -25,12 +25,22 @@ def test_distributed_row_number_matches_window(spark):
     assert got == want
 
 
-def test_running_sum_matches_window(spark):
-    df = _frame(spark).filter(F.col("k").isNotNull())
-    got = {r["id"]: r["rs"] for r in running_sum(df, "v", ["k"], "day", ["id"], "rs").collect()}
-    w = Window.partitionBy("k").orderBy("day", "id").rowsBetween(Window.unboundedPreceding, 0)
-    want = {r["id"]: r["rs"] for r in df.select("id", F.sum("v").over(w).alias("rs")).collect()}
-    assert got == want
+def test_value_rank_matches_window(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, f"C{i}", f"S{i % 40}x{i}"]), rnd.choice([0, 0, 0, rnd.randint(-99, 99), rnd.randint(0, 10 ** 9)]) / 100)
+            for i in range(1500)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, k string, v double") \
+        .withColumn("k", F.when(F.col("k").isNotNull(), F.concat("k", F.lit("-"), "id"))).dropDuplicates(["k"])
+    got = {r["id"]: r["rn"] for r in value_rank(df, "v", "k", "rn").collect()}
+    w = Window.orderBy(F.col("v").desc(), F.col("k").asc_nulls_last())
+    assert got == {r["id"]: r["rn"] for r in df.select("id", F.row_number().over(w).alias("rn")).collect()}
+
+
+def test_join_around_null_keys(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else f"k{i % 7}") for i in range(200)], "id long, k string")
+    other = spark.createDataFrame([(f"k{i}", i) for i in range(5)], "k string, v int")
+    got = {tuple(r) for r in without_null_skew(df, other, "k", "id").select("id", "k", "v").collect()}
+    assert got == {tuple(r) for r in df.join(other, "k", "left").select("id", "k", "v").collect()}
 
 
 def test_forward_range_sum_matches_correlated_definition(spark):
@@ -43,14 +53,6 @@ def test_forward_range_sum_matches_correlated_definition(spark):
         assert value == want
 
 
-def test_group_totals_keep_null_group(spark):
-    df = _frame(spark, 300)
-    got = {r["id"]: r["tot"] for r in attach_group_totals(df, ["k"], {"tot": F.sum("v")}).collect()}
-    want = {r["id"]: r["tot"] for r in df.select("id", F.sum("v").over(Window.partitionBy("k")).alias("tot"))
-            .collect()}
-    assert got == want
-
-
 def test_scalar_subqueries(spark):
     df = _frame(spark, 100)
     s = scalars(df, n=F.count(F.lit(1)), tot=F.sum("v"))
