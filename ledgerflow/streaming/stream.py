@@ -1,109 +1,76 @@
 """Structured Streaming forms of the sync (I10, I5 replay) and of the
 heartbeat monitor (I12).
 
-I10: the source table arrives as Parquet files; each micro-batch goes through
-record normalisation (I3) and chunking (I4), is written under its batch id
-with overwrite (a replayed batch rewrites the same files), then the cursor
-state row of that batch is written the same way.  The streaming checkpoint
-is the commit protocol: it replaces the persisted cursor for append-only
-sources, and readers never see a batch twice.
+I10: the source table arrives as Parquet files; each micro-batch is turned
+into the rows of a view, goes through record normalisation (I3), is written
+in cursor order under its batch id with overwrite (a replayed batch rewrites
+the same folder) and is cut into chunks of 5 000 with one short last (I4);
+then one state row per batch is written the same way.  The streaming
+checkpoint is the commit protocol: it replaces the persisted cursor for
+append-only sources, and readers never see a batch twice.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..registry import register
 from ..session import scratch_path
-from .sync import PAGE_SIZE, normalize_records, resolve_cursor_column
+from .sync import NORMALIZED_LEDGER_SQL, PAGE_SIZE, normalize_records, resolve_cursor_column
 
 
 class LedgerSync:
-    """One view synced from a folder of Parquet files to a sink folder."""
+    """One view synced from a folder of Parquet files to a sink folder.
+
+    ``view`` makes the view's rows from a batch of source rows (a
+    row-preserving view: joins on unique keys, no window)."""
 
     def __init__(self, spark: SparkSession, view_name: str, source_dir: str, root: str,
-                 files_per_trigger: int = 1, schema_version: str = "unknown"):
+                 files_per_trigger: int = 1, schema_version: str = "unknown",
+                 view: Callable[[DataFrame], DataFrame] | None = None):
         self.spark = spark
         self.view_name = view_name
         self.source_dir = source_dir
         self.sink_dir = f"{root}/sink"
         self.state_dir = f"{root}/state"
-        self.envelope_dir = f"{root}/envelopes"
         self.checkpoint_dir = f"{root}/checkpoint"
         self.files_per_trigger = files_per_trigger
         self.schema_version = schema_version
-        self._stored: dict[int, int] = {}     # batch id -> cursor stored by this process
+        self.view = view or (lambda batch: batch)
 
     def _previous_cursor(self, batch_id: int) -> int:
-        """Cursor stored by the batches before this one (0 if none); read from
-        the state folder only when this process did not store them itself
-        (first batch after a restart)."""
+        """The cursor stored with the batch before this one; a failed read is an error."""
         if batch_id == 0:
             return 0
-        if all(b in self._stored for b in range(batch_id)):
-            return max([self._stored[b] for b in range(batch_id)] + [0])
-        try:
-            st = self.spark.read.parquet(self.state_dir)
-        except Exception:  # noqa: BLE001 - no state yet
-            return 0
-        row = st.filter(F.col("batch_id") < batch_id).agg(F.max("watermark_max")).first()
-        return int(row[0]) if row and row[0] is not None else 0
+        return self.spark.read.parquet(f"{self.state_dir}/batch_id={batch_id - 1}").first()["cursor"]
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """foreachBatch body; running it again for the same id changes nothing.
-
-        Chunks are cut inside each partition of the micro-batch (at most
-        PAGE_SIZE rows each), so no global sort is needed."""
-        col = resolve_cursor_column(batch)
-        mode = "INCREMENTAL" if col else "FULL"
-        cmin = self._previous_cursor(batch_id) if col else 0
-        # a micro-batch of one file is one task: spread it over the cores.
-        # Chunk ids are cut inside the writing task and the envelopes are
-        # computed from the committed files, so the sink stays consistent
-        # even if a retried task orders its rows differently.
-        parallelism = self.spark.sparkContext.defaultParallelism
-        if batch.rdd.getNumPartitions() < parallelism:
-            batch = batch.repartition(parallelism, *([F.col(col)] if col else []))
-        mid = F.monotonically_increasing_id()
-        local = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
-        rows = (normalize_records(batch).withColumn("__mid", mid)
-                .withColumn("chunk_index", F.shiftleft(F.shiftright(F.col("__mid"), 33), 24)
-                            + F.floor(local / PAGE_SIZE).cast("long"))
-                .drop("__mid"))
+        """foreachBatch body; running it again for the same id changes nothing."""
+        rows = normalize_records(self.view(batch))
+        col = resolve_cursor_column(rows)
+        before = self._previous_cursor(batch_id)
         part = f"batch_id={batch_id}"
-        rows.write.mode("overwrite").parquet(f"{self.sink_dir}/{part}")
-        # envelopes from the committed files, in one pass over two columns;
-        # the batch-wide maximum cursor goes on the last chunk only
+        if col:
+            rows = rows.repartitionByRange(F.col(col)).sortWithinPartitions(col)
+        # the place inside the batch, up to an offset per written partition
+        (rows.withColumn("__mid", F.monotonically_increasing_id())
+         .write.mode("overwrite").parquet(f"{self.sink_dir}/{part}"))
         written = self.spark.read.parquet(f"{self.sink_dir}/{part}")
-        cur = F.col(col) if col else F.lit(0)
-        per_chunk = written.groupBy("chunk_index").agg(F.count(F.lit(1)).alias("row_count"),
-                                                       F.max(cur).cast("long").alias("chunk_cursor_max"))
-        last = per_chunk.select(F.max("chunk_index")).scalar()
-        bmax = per_chunk.select(F.max("chunk_cursor_max")).scalar()
-        env = per_chunk.select(
-            F.lit(self.view_name).alias("view_name"), F.lit(mode).alias("sync_mode"), "chunk_index",
-            F.lit(cmin).cast("long").alias("watermark_min"),
-            F.when(F.col("chunk_index") == last, bmax if col else F.lit(0)).cast("long").alias("watermark_max"),
-            "row_count", F.lit(self.schema_version).alias("schema_version"), "chunk_cursor_max")
-        env.write.mode("overwrite").parquet(f"{self.envelope_dir}/{part}")
-        summary = self.spark.read.parquet(f"{self.envelope_dir}/{part}").agg(
-            F.sum("row_count").alias("n"), F.max("chunk_cursor_max").alias("cmax")).first()
-        if summary["n"] is None:
-            self._stored[batch_id] = cmin
-            return  # empty micro-batch: nothing to upload, cursor unchanged
-        cmax = int(summary["cmax"]) if col else 0
-        # the cursor is stored only after the data is written, and only if > 0
-        if cmax > 0:
-            state = self.spark.createDataFrame(
-                [(self.view_name, mode, cmin, cmax, int(summary["n"]))],
-                "view_name string, sync_mode string, watermark_min long, watermark_max long, row_count long")
-            state.write.mode("overwrite").parquet(f"{self.state_dir}/{part}")
-            self._stored[batch_id] = cmax
-        else:
-            self._stored[batch_id] = cmin
+        # one row per partition, and the batch's count and last cursor with it
+        parts = written.groupBy(F.shiftright("__mid", 33).alias("part")).agg(
+            F.count(F.lit(1)).alias("n"), (F.max(col) if col else F.lit(0)).cast("long").alias("c"))
+        state = parts.agg(F.sum("n").alias("row_count"), F.max("c").alias("watermark_max"),
+                          F.collect_list(F.struct("part", "n")).alias("parts"))
+        state.select(
+            F.lit(self.view_name).alias("view_name"), F.lit("INCREMENTAL" if col else "FULL").alias("sync_mode"),
+            F.lit(before).cast("long").alias("watermark_min"), "watermark_max", F.coalesce("row_count", F.lit(0)).alias("row_count"),
+            # the cursor is stored after the data, and only moves up
+            F.greatest(F.lit(before).cast("long"), F.coalesce("watermark_max", F.lit(0))).alias("cursor"),
+            "parts").coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/{part}")
 
     def run(self, schema, deliveries: int = 1, replayed: set[int] | None = None) -> None:
         """Run the stream to the end of the available files.  ``deliveries``
@@ -121,12 +88,31 @@ class LedgerSync:
              .trigger(availableNow=True).start())
         q.awaitTermination()
 
-    def synced(self) -> DataFrame:
-        return self.spark.read.parquet(self.sink_dir)
-
     def state(self) -> DataFrame:
         return self.spark.read.parquet(self.state_dir)
 
+    def synced(self) -> DataFrame:
+        """All rows with ``batch_id``, ``chunk_index`` and ``chunk_pos`` (chunks of ``PAGE_SIZE``, in cursor order)."""
+        w = Window.partitionBy("batch_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = self.state().select("batch_id", F.explode("parts").alias("p")).select(
+            F.col("batch_id").alias("__b"), F.col("p.part").alias("part"), F.col("p.n").alias("n"), F.col("batch_id"))
+        offsets = offsets.select("__b", F.col("part").alias("__part"), F.coalesce(F.sum("n").over(w), F.lit(0)).alias("__off"))
+        rows = self.spark.read.parquet(self.sink_dir)
+        at = F.col("__off") + F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
+        joined = rows.join(offsets, (rows["batch_id"] == offsets["__b"]) & (F.shiftright("__mid", 33) == F.col("__part")))
+        return joined.withColumns({"chunk_index": F.floor(at / PAGE_SIZE), "chunk_pos": at % PAGE_SIZE}).drop(
+            "__mid", "__b", "__part", "__off")
+
+    def envelopes(self) -> DataFrame:
+        """One row per chunk of every batch; the batch's last cursor on its last chunk only."""
+        last = F.floor((F.col("row_count") - 1) / PAGE_SIZE)
+        return self.state().filter("row_count > 0").withColumn(
+            "chunk_index", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
+            "batch_id", "view_name", "sync_mode", "chunk_index", "watermark_min",
+            F.when(F.col("chunk_index") == last, F.col("watermark_max")).alias("watermark_max"),
+            F.least(F.lit(PAGE_SIZE).cast("long"), F.col("row_count") - F.col("chunk_index") * PAGE_SIZE).alias("row_count"),
+            F.lit(self.schema_version).alias("schema_version"))
+
 
 def export_source(df: DataFrame, path: str, files: int, cursor_col: str) -> None:
     """Write a table as ``files`` Parquet files, each holding one cursor
@@ -140,44 +126,50 @@ def _sync_root(spark: SparkSession, tag: str) -> str:
     return scratch_path(spark, f"{tag}-{uuid.uuid4().hex}")
 
 
-def _ledger_source(spark: SparkSession, sf_dir: str, root: str, batches: int) -> tuple[str, int]:
-    """Folder of ledger Parquet files to stream, and files per micro-batch.
+def _ledger_sync(spark: SparkSession, sf_dir: str, tag: str, batches: int) -> tuple[LedgerSync, DataFrame]:
+    """A sync of the general-ledger view from a folder of ledger files.
 
     A stored ledger (materialised ERP tables) is streamed as it is;
     otherwise the derived ledger is first exported as cursor-ordered files."""
+    from ..plans.ledger import general_ledger
     from ..registry import tables
+    from ..sources.adapter import AS_OF
     t = tables(spark, sf_dir)
+    root = _sync_root(spark, tag)
     if t.stored_dir:
         src = f"{t.stored_dir}/f_ecriturec"
-        n_files = len(spark.read.parquet(src).inputFiles())
-        return src, max(1, -(-n_files // batches))
-    src = f"{root}/source"
-    export_source(t.f_ecriturec, src, batches, "cbmarq")
-    return src, 1
+    else:
+        src = f"{root}/source"
+        export_source(t.f_ecriturec, src, batches, "cbmarq")
+    source = spark.read.parquet(src)
+    files = -(-len(source.inputFiles()) // batches)
+    return LedgerSync(spark, "VW_GRAND_LIVRE_GENERAL", src, root, files_per_trigger=max(1, files),
+                      view=lambda batch: general_ledger(t, AS_OF, ledger=batch)), source
 
 
-@register("stream_ledger_sync", raw=True)
+@register("stream_ledger_sync", oracle=NORMALIZED_LEDGER_SQL, raw=True)
 def stream_ledger_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger files synced by a file stream (about 8 micro-batches)
-    into the chunked sink."""
-    root = _sync_root(spark, "ledger-sync")
-    src, per_trigger = _ledger_source(spark, sf_dir, root, 8)
-    job = LedgerSync(spark, "VW_ECRITURES", src, root, files_per_trigger=per_trigger)
-    job.run(spark.read.parquet(src).schema)
-    return job.synced()
+    """Source files -> general-ledger view -> normalised records -> chunks -> sink -> cursor,
+    in about 8 micro-batches; the records as the sink holds them."""
+    job, source = _ledger_sync(spark, sf_dir, "ledger-sync", 8)
+    job.run(source.schema)
+    return job.synced().drop("batch_id", "chunk_index", "chunk_pos")
 
 
-@register("stream_watermark_replay", raw=True)
+@register("stream_watermark_replay", raw=True, oracle="""
+SELECT count(*) AS rows_synced, 0::BIGINT AS duplicates, max(cbmarq) AS cursor, true AS state_follows_batches FROM f_ecriturec
+""")
 def stream_watermark_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored cursors after a sync whose last micro-batch is
-    delivered twice (the in-flight batch of a crash is re-run under the same
-    id with at-least-once delivery): the state equals a single delivery."""
-    root = _sync_root(spark, "ledger-replay")
-    src, per_trigger = _ledger_source(spark, sf_dir, root, 4)
-    n_batches = -(-len(spark.read.parquet(src).inputFiles()) // per_trigger)
-    job = LedgerSync(spark, "VW_ECRITURES", src, root, files_per_trigger=per_trigger)
-    job.run(spark.read.parquet(src).schema, deliveries=2, replayed={n_batches - 1})
-    return job.state()
+    """A sync whose batches are all delivered twice (at-least-once delivery under the same
+    ids): rows, duplicates and the final cursor equal a single delivery."""
+    job, source = _ledger_sync(spark, sf_dir, "ledger-replay", 4)
+    job.run(source.schema, deliveries=2)
+    rows = job.synced().agg(F.count(F.lit(1)).alias("rows_synced"),
+                            (F.count(F.lit(1)) - F.count_distinct("id_ecriture")).alias("duplicates"))
+    state = job.state().agg(F.max("cursor").alias("cursor"),
+                            (F.max_by("cursor", "batch_id") == F.max("watermark_max")).alias("state_follows_batches"))
+    return rows.select("rows_synced", "duplicates", state.select("cursor").scalar().alias("cursor"),
+                       state.select("state_follows_batches").scalar().alias("state_follows_batches"))
 
 
 def heartbeat_session_stream(spark: SparkSession, source_dir: str, schema, sink_dir: str, checkpoint_dir: str,
@@ -209,15 +201,3 @@ def ledger_source(t, as_of: str) -> DataFrame:
     """S1 + adapter: the ledger table derived from the driver tables."""
     ec = t.f_ecriturec
     return ec.withColumns({"ec_montant": ec["ec_montant"].cast("double"), "ec_sens": ec["ec_sens"].cast("int")})
-
-
-def account_mapping(t, as_of: str) -> DataFrame:
-    """The 52-row account-root mapping (literal input, so it is not
-    a registered query; the views that join it are)."""
-    return t.mapping
-
-
-def calendar_dim(t, as_of: str) -> DataFrame:
-    """The day calendar over the test bounds (generated input, so it
-    is not a registered query; the views that join it are)."""
-    return t.calendar

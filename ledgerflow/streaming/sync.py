@@ -13,11 +13,15 @@ batch time = ts, row count = props.k.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.patterns import distributed_row_number, scalar
 from ..registry import register
+from ..session import scratch_path
+from .state import BatchSink, SyncState
 
 # Fixed values of the reference: rows per page / per ingest call, default
 # interval (minutes) of a view without configuration.
@@ -36,7 +40,6 @@ VIEW_CONFIG = {
 # Test configuration for the event-driven sync inputs (views = event types).
 EVENT_VIEW_INTERVALS = {"click": 15, "error": 5, "purchase": 30, "signup": 60, "refund": 360}
 EVENT_REMOTE_INTERVALS = {"purchase": 10}
-HEARTBEAT_LIMIT = "12 hours"
 HEARTBEAT_LIMIT_SECONDS = 12 * 3600
 
 
@@ -55,18 +58,42 @@ def effective_mode(df: DataFrame, configured: str) -> str:
 
 # --------------------------------------------------------------------------- I1
 
+#: Ranges of cursor values that a page's end is looked for in.
+CURSOR_RANGES = 4096
+
+
+def _range_bound(after: DataFrame, col: str, size: int) -> Column:
+    """A cursor value by which at least ``size`` rows of ``after`` have come (their
+    largest value if there are fewer), as a scalar subquery.
+
+    Counts per range of cursor values decide, so a page never gathers
+    ``size`` rows of every input partition in one task, and the bound reaches
+    the scan as a filter.
+    """
+    ends = after.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
+    lo, hi = scalar(ends, F.col("lo")), scalar(ends, F.col("hi"))
+    step = F.floor((hi - lo) / CURSOR_RANGES) + 1
+    ranges = after.groupBy(F.floor((F.col(col) - lo) / step).alias("__cursor_range")).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("__cursor_range").rowsBetween(Window.unboundedPreceding, 0))
+    full = ranges.withColumn("upto", upto).filter(F.col("upto") >= size)
+    return F.coalesce(lo + (scalar(full, F.min("__cursor_range")) + 1) * step - 1, hi)
+
+
 def cursor_page(view: DataFrame, cursor: int | Column, size: int = PAGE_SIZE,
                 cursor_col: str | None = None) -> DataFrame:
     """Rows with cursor > c in ascending cursor order, at most ``size``.
 
     The filter is applied to the finished view (never to its inputs), so
-    whole-set windows inside the view are not changed by paging.  orderBy +
-    limit runs as a bounded top-k (TakeOrderedAndProject)."""
+    whole-set windows inside the view are not changed by paging.  Only rows
+    up to a bound that is known to hold the page are sorted.  A page may end
+    inside a group of equal cursors: ``cursor_page_tie_safe`` does not."""
     col = cursor_col or resolve_cursor_column(view)
     if col is None:
         return view  # FULL mode: everything
     c = cursor if isinstance(cursor, Column) else F.lit(cursor)
-    return view.filter(F.col(col) > c).orderBy(F.col(col).asc()).limit(size)
+    after = view.filter(F.col(col) > c)
+    bound = _range_bound(after.select(col), col, size)
+    return after.filter(F.col(col) <= bound).orderBy(F.col(col).asc()).limit(size)
 
 
 def cursor_page_tie_safe(view: DataFrame, cursor: int | Column, size: int = PAGE_SIZE,
@@ -78,7 +105,8 @@ def cursor_page_tie_safe(view: DataFrame, cursor: int | Column, size: int = PAGE
     col = cursor_col or resolve_cursor_column(view)
     c = cursor if isinstance(cursor, Column) else F.lit(cursor)
     after = view.filter(F.col(col) > c)
-    border = scalar(after.select(col).orderBy(F.col(col).asc()).limit(size), F.max(col))
+    near = after.select(col).filter(F.col(col) <= _range_bound(after.select(col), col, size))
+    border = scalar(near.orderBy(F.col(col).asc()).limit(size), F.max(col))
     return after.filter(F.col(col) <= border)
 
 
@@ -103,34 +131,43 @@ def normalize_records(df: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- I4
 
-def chunk_envelopes(rows: DataFrame, order: list[Column], view_name: str, mode: str, cursor_min: int,
-                    cursor_max: int | Column | None, schema_version: str = "unknown",
-                    size: int = PAGE_SIZE) -> tuple[DataFrame, DataFrame]:
-    """Split a record set into ingest chunks of ``size`` rows.
-
-    Returns (rows with chunk_index, one envelope row per chunk).  The chunk
-    index comes from a distributed row number (no single-partition window).
-    cursor_max is only set on the last chunk (NULL on the others)."""
-    ranked = distributed_row_number(rows, order, "__rn")
-    ranked = ranked.withColumn("chunk_index", F.floor((F.col("__rn") - 1) / size).cast("long"))
-    n_chunks = scalar(ranked, F.max("chunk_index"))
+def chunk_envelopes(rows: DataFrame, view_name: str, mode: str, cursor_min: int, cursor_max: int | Column | None,
+                    schema_version: str = "unknown", size: int = PAGE_SIZE) -> DataFrame:
+    """One envelope row per ingest chunk of ``size`` rows; cursor_max is only set on
+    the last chunk (NULL on the others).  Chunk sizes follow from the number
+    of rows, so nothing is ranked or shuffled for them."""
     cmax = cursor_max if isinstance(cursor_max, Column) else F.lit(cursor_max)
-    env = ranked.groupBy("chunk_index").agg(F.count(F.lit(1)).alias("row_count")).select(
+    n = rows.agg(F.count(F.lit(1)).alias("n"), *([cmax.alias("c")] if isinstance(cursor_max, Column) else []))
+    c = F.col("c") if isinstance(cursor_max, Column) else cmax
+    last = F.floor((F.col("n") - 1) / size)
+    chunks = n.filter("n > 0").withColumn("chunk_index", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return chunks.select(
         F.lit(view_name).alias("view_name"), F.lit(mode).alias("sync_mode"), "chunk_index",
         F.lit(cursor_min).cast("long").alias("watermark_min"),
-        F.when(F.col("chunk_index") == n_chunks, cmax.cast("long")).alias("watermark_max"),
-        "row_count", F.lit(schema_version).alias("schema_version"))
-    return ranked.drop("__rn"), env
+        F.when(F.col("chunk_index") == last, c.cast("long")).alias("watermark_max"),
+        F.least(F.lit(size).cast("long"), F.col("n") - F.col("chunk_index") * size).alias("row_count"),
+        F.lit(schema_version).alias("schema_version"))
+
+
+def chunked_rows(rows: DataFrame, order: list[Column], size: int = PAGE_SIZE) -> DataFrame:
+    """``rows`` with ``chunk_index`` and ``chunk_pos`` by a distributed row number
+    (written once: an action, for sinks)."""
+    n = F.col("__rn") - 1
+    return distributed_row_number(rows, order, "__rn").withColumns(
+        {"chunk_index": F.floor(n / size).cast("long"), "chunk_pos": (n % size).cast("long")}).drop("__rn")
 
 
 def to_payload(rows: DataFrame, envelopes: DataFrame) -> DataFrame:
-    """One JSON document per chunk (the ingest body), built on the executors."""
+    """One JSON document per chunk (the ingest body), built on the executors; rows in
+    their order, NULL fields kept as null.  ``rows`` as of ``chunked_rows``."""
+    fields = [c for c in rows.columns if c not in ("chunk_index", "chunk_pos")]
+    record = F.struct("chunk_pos", F.struct(*[F.col(f"`{c}`") for c in fields]).alias("r"))
     body = rows.groupBy("chunk_index").agg(
-        F.collect_list(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "chunk_index"])).alias("rows"))
+        F.transform(F.array_sort(F.collect_list(record)), lambda x: x["r"]).alias("rows"))
     return envelopes.join(body, "chunk_index").select(
         "view_name", "chunk_index",
         F.to_json(F.struct("view_name", "sync_mode", "watermark_min", "watermark_max", "row_count",
-                           "schema_version", "rows")).alias("payload"))
+                           "schema_version", "rows"), {"ignoreNullFields": "false"}).alias("payload"))
 
 
 # --------------------------------------------------------------------------- sync log
@@ -206,29 +243,27 @@ def full_mode_scan(t, as_of: str) -> DataFrame:
     return cursor_page(view, 0)
 
 
-@register("normalize_records", """
-WITH gl AS (SELECT * FROM (""" + "{KEY:general_ledger}" + """)),
-p AS (SELECT * FROM gl WHERE watermark_sync > 0 ORDER BY watermark_sync LIMIT 5000)
-SELECT * REPLACE (
-    strftime(CAST(dt_jour AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S.%gZ') AS dt_jour,
-    strftime(date_creation_saisie, '%Y-%m-%dT%H:%M:%S.%gZ') AS date_creation_saisie,
-    strftime(date_modification, '%Y-%m-%dT%H:%M:%S.%gZ') AS date_modification)
-FROM p
-""")
+_ISO = "%Y-%m-%dT%H:%M:%S.%gZ"
+NORMALIZED_LEDGER_SQL = f"""
+SELECT * REPLACE (strftime(dt_jour::TIMESTAMP, '{_ISO}') AS dt_jour, strftime(date_creation_saisie, '{_ISO}') AS date_creation_saisie,
+                  strftime(date_modification, '{_ISO}') AS date_modification)
+FROM (""" + "{KEY:general_ledger})"
+
+
+@register("normalize_records", NORMALIZED_LEDGER_SQL)
 def normalize_records_key(t, as_of: str) -> DataFrame:
-    """I3 on the first page of the general ledger."""
-    return normalize_records(ledger_view_page(t, as_of, 0))
+    """I3 on every row of the general ledger."""
+    from ..plans.ledger import general_ledger
+    return normalize_records(general_ledger(t, as_of))
 
 
 @register("ingest_chunks", """
-WITH fd AS (SELECT * FROM (""" + "{KEY:finance_daily}" + """)),
-r AS (SELECT (ROW_NUMBER() OVER (ORDER BY dt_jour, cg_num) - 1) // 5000 AS chunk_index FROM fd),
-g AS (SELECT chunk_index, COUNT(*) AS row_count FROM r GROUP BY chunk_index)
-SELECT 'VW_FINANCE_GENERAL' AS view_name, 'FULL' AS sync_mode, CAST(chunk_index AS BIGINT) AS chunk_index,
-    CAST(0 AS BIGINT) AS watermark_min,
-    CASE WHEN chunk_index = (SELECT max(chunk_index) FROM g) THEN CAST(0 AS BIGINT) END AS watermark_max,
-    row_count, 'unknown' AS schema_version
-FROM g
+WITH n AS (SELECT count(*) AS n FROM ({KEY:finance_daily})),
+c AS (SELECT unnest(range((n + 4999) // 5000)) AS chunk_index, n FROM n)
+SELECT 'VW_FINANCE_GENERAL' AS view_name, 'FULL' AS sync_mode, chunk_index, 0::BIGINT AS watermark_min,
+    if(chunk_index = max(chunk_index) OVER (), 0::BIGINT, NULL) AS watermark_max, least(5000, n - 5000 * chunk_index) AS row_count,
+    'unknown' AS schema_version
+FROM c
 """)
 def ingest_chunks_key(t, as_of: str) -> DataFrame:
     """The finance view has no cursor column: FULL mode, whole view in
@@ -236,58 +271,57 @@ def ingest_chunks_key(t, as_of: str) -> DataFrame:
     from ..plans.ledger import finance_daily
     view = finance_daily(t, as_of)
     mode = effective_mode(view, VIEW_CONFIG["VW_FINANCE_GENERAL"][1])
-    _, env = chunk_envelopes(view, [F.col("dt_jour").asc_nulls_last(), F.col("cg_num").asc()],
-                             "VW_FINANCE_GENERAL", mode, 0, 0)
-    return env
+    return chunk_envelopes(view, "VW_FINANCE_GENERAL", mode, 0, 0)
+
 
+PAYLOAD_ROWS = "array<struct<numero_piece:string,date_facture:string,exercice:int,type_piece:string,montant_ht:double,montant_ttc:double,code_client:string>>"
 
-def _first_pages(batches: DataFrame, cursor: int = 0) -> DataFrame:
-    """Per view, the first page after ``cursor`` (ties broken by batch id).
 
-    row_number() <= k is planned as a per-group limit below the shuffle
-    (WindowGroupLimit), so a hot view never ships more than k rows per
-    input partition."""
-    spark = batches.sparkSession
-    if int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")) < PAGE_SIZE:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(PAGE_SIZE))
-    w = Window.partitionBy("view_name").orderBy("cursor", "batch_id")
-    return (batches.filter(F.col("cursor") > cursor).withColumn("__rn", F.row_number().over(w))
-            .filter(F.col("__rn") <= PAGE_SIZE).drop("__rn"))
+@register("ingest_payload", """
+WITH r AS (SELECT *, row_number() OVER (ORDER BY numero_piece, type_piece) - 1 AS place, count(*) OVER () AS n FROM ({KEY:client_invoices_flat}))
+SELECT 'VW_FINANCES_CLIENTS_FLAT' AS view_name, place // 5000 AS chunk_index, place % 5000 AS chunk_pos, least(5000, n - place // 5000 * 5000) AS row_count,
+    if(place // 5000 = (n - 1) // 5000, 0::BIGINT, NULL) AS watermark_max, numero_piece,
+    strftime(date_facture::TIMESTAMP, '""" + _ISO + """') AS date_facture, exercice, type_piece, montant_ht, montant_ttc, code_client
+FROM r
+""")
+def ingest_payload(t, as_of: str) -> DataFrame:
+    """K1: the invoices view as JSON payloads, parsed back: every record in its chunk and place."""
+    from ..plans.commerce import client_invoices_flat
+    view = client_invoices_flat(t, as_of)
+    chunks = chunked_rows(normalize_records(view), [F.col("numero_piece"), F.col("type_piece")])
+    payload = to_payload(chunks, chunk_envelopes(view, "VW_FINANCES_CLIENTS_FLAT", "FULL", 0, 0))
+    body = F.from_json("payload", F.lit(f"struct<view_name:string,row_count:bigint,watermark_max:bigint,rows:{PAYLOAD_ROWS}>"))
+    parsed = payload.select("chunk_index", body.alias("b")).select(
+        "b.view_name", "chunk_index", "b.row_count", "b.watermark_max", F.posexplode("b.rows").alias("chunk_pos", "r"))
+    return parsed.select("view_name", "chunk_index", F.col("chunk_pos").cast("long").alias("chunk_pos"), "row_count", "watermark_max", "r.*")
 
 
 @register("watermark_state", f"""
-WITH {BATCHES_SQL},
-pg AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY view_name ORDER BY cursor, batch_id) AS rn
-       FROM batches WHERE cursor > 0)
-SELECT view_name, CAST(0 AS BIGINT) AS watermark_min, max(cursor) AS watermark_max, COUNT(*) AS row_count,
-    max(cursor) > 0 AS persisted
-FROM pg WHERE rn <= 5000 GROUP BY view_name
+WITH {BATCHES_SQL}
+SELECT view_name, 0::BIGINT AS watermark_min, max(cursor) AS watermark_max, count(*) AS row_count, true AS persisted
+FROM batches WHERE cursor > 0 GROUP BY view_name
 """)
 def watermark_state(t, as_of: str) -> DataFrame:
-    """One cycle from cursor 0 per view; the new cursor is the maximum
-    over the page and is only stored when > 0."""
-    page = _first_pages(sync_batches(t))
-    return page.groupBy("view_name").agg(
+    """One cycle from cursor 0 per view, drained to its end (groups of equal
+    cursors whole); the new cursor is the maximum and is only stored when > 0."""
+    rows = sync_batches(t).filter(F.col("cursor") > 0)
+    return rows.groupBy("view_name").agg(
         F.lit(0).cast("long").alias("watermark_min"), F.max("cursor").alias("watermark_max"),
         F.count(F.lit(1)).alias("row_count"), (F.max("cursor") > 0).alias("persisted"))
 
 
 @register("full_resync", f"""
-WITH {BATCHES_SQL},
-pg AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY view_name ORDER BY cursor, batch_id) AS rn
-       FROM batches WHERE cursor > 0),
-st AS (SELECT view_name, max(cursor) AS wm FROM pg WHERE rn <= 5000 GROUP BY view_name)
-SELECT view_name, wm AS watermark_before, CAST(0 AS BIGINT) AS watermark_after FROM st WHERE wm > 0
+WITH {BATCHES_SQL}
+SELECT view_name, max(cursor) AS watermark_before, 0::BIGINT AS watermark_after FROM batches WHERE cursor > 0 GROUP BY view_name
 """)
 def full_resync(t, as_of: str) -> DataFrame:
-    """FORCE_FULL_SYNC appends a 0 for every stored cursor; the latest
-    value per view (max_by over the append sequence) is then 0."""
-    state = watermark_state(t, as_of).filter("persisted").select(
-        "view_name", F.col("watermark_max").alias("value"), F.lit(1).alias("seq"))
-    log = state.unionByName(state.select("view_name", F.lit(0).cast("long").alias("value"), F.lit(2).alias("seq")))
-    latest = log.groupBy("view_name").agg(F.max_by("value", "seq").alias("watermark_after"),
-                                          F.min_by("value", "seq").alias("watermark_before"))
-    return latest.select("view_name", "watermark_before", "watermark_after")
+    """Cursors are stored, FORCE_FULL_SYNC resets them, both states are read back."""
+    state = SyncState(t.spark, scratch_path(t.spark, f"resync-{uuid.uuid4().hex}"))
+    state.set_all(watermark_state(t, as_of).filter("persisted").select("view_name", F.col("watermark_max").alias("cursor")))
+    # a row per view; read before the reset appends newer versions
+    before = t.spark.createDataFrame(state.cursors().collect(), "view_name string, watermark_before long")
+    state.reset()
+    return before.join(state.cursors().withColumnRenamed("cursor", "watermark_after"), "view_name")
 
 
 @register("snapshot_latest", f"""
@@ -442,17 +476,26 @@ def job_stats(t, as_of: str) -> DataFrame:
 # --------------------------------------------------------------------------- I12
 
 def heartbeat_sessions_df(beats: DataFrame, agent: str = "agent_id", ts: str = "ts",
-                          limit: str = HEARTBEAT_LIMIT) -> DataFrame:
-    """Online periods per agent: a beat at most ``limit`` after the previous
-    one stays in its session (a new session starts after a silence longer
-    than ``limit``); a session ends ``limit`` after its last beat.
-
-    ``session_window`` merges sessions map-side before the shuffle, so a hot
-    agent ships sessions (bounded by its time span / limit), not beats."""
-    return (beats.groupBy(F.col(agent).alias("agent_id"), F.session_window(F.col(ts), limit).alias("s"))
-            .agg(F.count(F.lit(1)).alias("n_beats"), F.min(ts).alias("first_beat"), F.max(ts).alias("last_beat"))
-            .select("agent_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
-                    "n_beats", "first_beat", "last_beat"))
+                          limit_seconds: int = HEARTBEAT_LIMIT_SECONDS) -> DataFrame:
+    """Online periods per agent: a beat at most ``limit_seconds`` after the previous
+    one stays in its session (a new session starts after a longer silence);
+    a session ends that long after its last beat.
+
+    Two beats in one slot of ``limit_seconds`` are always in one session, so
+    beats are first combined per (agent, slot), before the shuffle; sessions
+    are then put together from slots, of which an agent has as many as its
+    time span holds, however often it beats."""
+    slot = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (limit_seconds * 1_000_000))
+    slots = beats.groupBy(F.col(agent).alias("agent_id"), slot.alias("__slot")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last"))
+    w = Window.partitionBy("agent_id").orderBy("__slot")
+    silent = F.timestamp_diff("MICROSECOND", F.lag("last").over(w), F.col("first")) > limit_seconds * 1_000_000
+    marked = slots.withColumn("__new", F.when(silent, 1).otherwise(0)).withColumn("__session", F.sum("__new").over(w))
+    sessions = marked.groupBy("agent_id", "__session").agg(
+        F.sum("n").alias("n_beats"), F.min("first").alias("first_beat"), F.max("last").alias("last_beat"))
+    return sessions.select("agent_id", F.col("first_beat").alias("session_start"),
+                           F.timestamp_add("SECOND", F.lit(limit_seconds), F.col("last_beat")).alias("session_end"),
+                           "n_beats", "first_beat", "last_beat")
 
 
 def heartbeat_gaps_df(beats: DataFrame, agent: str = "agent_id", ts: str = "ts",
@@ -461,7 +504,7 @@ def heartbeat_gaps_df(beats: DataFrame, agent: str = "agent_id", ts: str = "ts",
 
     The per-agent window runs over sessions, whose number is bounded by the
     agent's time span divided by the limit, never over raw beats."""
-    sess = heartbeat_sessions_df(beats, agent, ts, f"{limit_seconds} seconds")
+    sess = heartbeat_sessions_df(beats, agent, ts, limit_seconds)
     w = Window.partitionBy("agent_id").orderBy("first_beat")
     g = sess.select("agent_id", F.lag("last_beat").over(w).alias("silent_from"),
                     F.col("first_beat").alias("silent_until"))
@@ -513,29 +556,87 @@ def adhoc_row_cap(t, as_of: str) -> DataFrame:
     return adhoc_query(t, as_of, "SELECT * FROM VW_TRESORERIE ORDER BY ec_no")
 
 
+@register("adhoc_subquery_top", """
+WITH f AS (SELECT * FROM ({KEY:client_invoices_flat}))
+SELECT count(*) AS n, sum(montant_ht) AS total, 'SELECT TOP 5' AS label
+FROM (SELECT montant_ht FROM f ORDER BY montant_ht DESC, numero_piece LIMIT 10)
+""")
+def adhoc_subquery_top(t, as_of: str) -> DataFrame:
+    """TOP belongs to its own SELECT, and text in quotes stays as it is."""
+    from ..plans.views import adhoc_query
+    return adhoc_query(t, as_of, "SELECT COUNT(*) AS n, SUM(montant_ht) AS total, 'SELECT TOP 5' AS label FROM "
+                                 "(SELECT TOP 10 montant_ht FROM VW_FINANCES_CLIENTS_FLAT ORDER BY montant_ht DESC, numero_piece) q")
+
+
 # --------------------------------------------------------------------------- I8 + I11
 
-def run_sync_cycle(t, as_of: str, cursors: dict[str, int], due: list[str] | None = None,
-                   sink=None) -> tuple[dict[str, dict], dict[str, str]]:
-    """One cycle over the due views: page each view after its cursor and hand
-    the page to ``sink(view_name, page_df)``.  A failing view is recorded and
-    skipped; the other views go on (failure isolation).  Returns per-view
-    results (rows, new cursor, mode) and per-view errors."""
+def due_now(state: SyncState, config: dict[str, tuple[int, str]]) -> list[str]:
+    """Views of ``config`` that never ran or whose interval has passed (one row per view is read)."""
+    waited = F.timestamp_diff("SECOND", F.col("last_run"), F.localtimestamp()) / 60.0
+    last = {r["view_name"]: r["m"] for r in state.snapshot().select("view_name", waited.alias("m")).collect()}
+    return [v for v, (minutes, _) in config.items() if v not in last or last[v] >= minutes]
+
+
+def run_sync_cycle(t, as_of: str, state: SyncState, sink: BatchSink, views: list[str] | None = None,
+                   page_size: int | None = None) -> tuple[dict[str, dict], dict[str, str]]:
+    """One cycle over ``views`` (default: the due ones of ``VIEW_CONFIG``).
+
+    Per view everything after its stored cursor is written, in one batch, or
+    with ``page_size`` in pages that never split a group of equal cursors,
+    until none is left.  A batch is written first and the cursor is read from
+    what was written, so each batch is evaluated once; then history and
+    cursor are stored.  A failing view is recorded and skipped; the others go
+    on.  Returns per-view results (rows, cursor, mode) and per-view errors."""
     from ..plans.views import view as build_view
     results, errors = {}, {}
-    for name in due or list(VIEW_CONFIG):
+    for name in due_now(state, VIEW_CONFIG) if views is None else views:
         try:
             v = build_view(t, as_of, name)
             mode = effective_mode(v, VIEW_CONFIG.get(name, (DEFAULT_INTERVAL_MIN, "FULL"))[1])
-            c = cursors.get(name, 0) if mode == "INCREMENTAL" else 0
-            page = cursor_page(v, c) if mode == "INCREMENTAL" else v
-            col = resolve_cursor_column(v)
-            stats = page.agg(F.count(F.lit(1)).alias("n"),
-                             (F.max(col) if col and mode == "INCREMENTAL" else F.lit(None)).alias("c")).first()
-            if sink is not None and stats["n"]:
-                sink(name, page)
-            new_cursor = stats["c"] if stats["c"] is not None and stats["c"] > 0 else c
-            results[name] = {"rows": stats["n"], "cursor": new_cursor, "mode": mode}
+            col = resolve_cursor_column(v) if mode == "INCREMENTAL" else None
+            cursor, total = (state.get(name) if col else 0), 0
+            while True:
+                batch_id = uuid.uuid4().hex
+                if col is None:
+                    rows = v
+                else:
+                    rows = cursor_page_tie_safe(v, cursor, page_size) if page_size else v.filter(F.col(col) > cursor)
+                n, last = sink.write(name, batch_id, rows, col)
+                state.record(name, batch_id, mode, cursor, last, n)
+                total += n
+                if last is not None and last > 0:
+                    cursor = last
+                    state.set(name, cursor)
+                if col is None or not page_size or n == 0:
+                    break
+            results[name] = {"rows": total, "cursor": cursor, "mode": mode}
         except Exception as e:  # noqa: BLE001 - isolation is the point
             errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
     return results, errors
+
+
+# views with equal cursors (stock), a whole-set window, one row, and no cursor
+CYCLE_VIEWS = {"VW_STOCKS": "stock_status", "VW_TRESORERIE": "treasury_flows", "VW_KPI_SYNTESE": "kpi_summary",
+               "VW_CLIENTS": "client_receivables"}
+CYCLE_CURSORS = ("VW_STOCKS", "VW_TRESORERIE")
+
+
+@register("sync_cycle_state", " UNION ALL ".join(
+    f"SELECT '{v}' AS view_name, count(*) AS rows_shipped, {'max(watermark_sync)' if v in CYCLE_CURSORS else '0::BIGINT'} AS cursor, "
+    f"{'count(DISTINCT watermark_sync)' if v in CYCLE_CURSORS else 'NULL::BIGINT'} AS distinct_cursors "
+    f"FROM ({{KEY:{k}}})" for v, k in CYCLE_VIEWS.items()))
+def sync_cycle_state(t, as_of: str) -> DataFrame:
+    """Rows shipped and final cursor per view after a cycle, read from the stored batches and state."""
+    root = scratch_path(t.spark, f"cycle-{uuid.uuid4().hex}")
+    state, sink = SyncState(t.spark, f"{root}/state"), BatchSink(t.spark, f"{root}/sink")
+    _, errors = run_sync_cycle(t, as_of, state, sink, list(CYCLE_VIEWS))
+    if errors:
+        raise RuntimeError(f"views failed: {errors}")
+    out = None
+    for name in CYCLE_VIEWS:
+        rows = sink.read(name)
+        seen = F.count_distinct("watermark_sync") if name in CYCLE_CURSORS else F.lit(None)
+        one = rows.agg(F.lit(name).alias("view_name"), F.count(F.lit(1)).alias("rows_shipped"), seen.cast("long").alias("distinct_cursors"))
+        out = one if out is None else out.unionByName(one)
+    return out.join(state.cursors(), "view_name", "left").select(
+        "view_name", "rows_shipped", F.coalesce("cursor", F.lit(0).cast("long")).alias("cursor"), "distinct_cursors")

@@ -34,7 +34,15 @@ def test_sync_stream_and_replay_are_idempotent(spark, scratch):
     assert all(st[i]["watermark_min"] == max(x["watermark_max"] for x in st[:i]) for i in range(1, len(st)))
     assert max(x["watermark_max"] for x in st) == 11999
     assert once.synced().filter(F.col("d") != "2001-01-01T00:00:00.000Z").count() == 0
-    assert once.synced().groupBy("batch_id", "chunk_index").count().agg(F.max("count")).first()[0] <= 5000
+    # chunks of 5 000 in cursor order, one short last per batch
+    chunks = once.synced().groupBy("batch_id", "chunk_index").agg(F.count(F.lit(1)).alias("n"), F.min("cbmarq").alias("lo"),
+                                                                  F.max("chunk_pos").alias("p")).collect()
+    sent = {(r["batch_id"], r["chunk_index"]): r["row_count"] for r in once.envelopes().collect()}
+    assert {(r["batch_id"], r["chunk_index"]): r["n"] for r in chunks} == sent
+    for b in {r["batch_id"] for r in chunks}:
+        mine = sorted((r["chunk_index"], r["n"], r["lo"], r["p"]) for r in chunks if r["batch_id"] == b)
+        assert [m[0] for m in mine] == list(range(len(mine))) and all(m[1] == 5000 for m in mine[:-1])
+        assert [m[2] for m in mine] == sorted(m[2] for m in mine) and all(m[3] == m[1] - 1 for m in mine)
 
 
 def test_heartbeat_stream_emits_closed_sessions(spark, scratch):

@@ -4,9 +4,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerflow.streaming.sync import (chunk_envelopes, cursor_page, cursor_page_tie_safe, effective_mode,
+import pytest
+
+from ledgerflow.streaming.state import BatchSink, SyncState
+from ledgerflow.streaming.sync import (chunk_envelopes, chunked_rows, cursor_page, cursor_page_tie_safe, due_now, effective_mode,
                                        heartbeat_gaps_df, heartbeat_sessions_df, normalize_records,
-                                       resolve_cursor_column)
+                                       resolve_cursor_column, run_sync_cycle, to_payload)
 
 
 def _tied(spark, n=23):
@@ -57,12 +60,22 @@ def test_normalize_records(spark):
 
 def test_chunk_envelopes(spark):
     df = spark.range(12001).withColumnRenamed("id", "cbmarq")
-    rows, env = chunk_envelopes(df, [F.col("cbmarq")], "V", "INCREMENTAL", 7, 12000, size=5000)
-    e = sorted(env.collect(), key=lambda r: r["chunk_index"])
-    assert [r["row_count"] for r in e] == [5000, 5000, 2001]
-    assert [r["watermark_max"] for r in e] == [None, None, 12000]
-    assert all(r["watermark_min"] == 7 for r in e)
+    for cmax in (12000, F.max("cbmarq")):
+        e = sorted(chunk_envelopes(df, "V", "INCREMENTAL", 7, cmax, size=5000).collect(), key=lambda r: r["chunk_index"])
+        assert [r["row_count"] for r in e] == [5000, 5000, 2001]
+        assert [r["watermark_max"] for r in e] == [None, None, 12000]
+        assert all(r["watermark_min"] == 7 for r in e)
+    assert chunk_envelopes(df.limit(0), "V", "FULL", 0, 0).count() == 0
+    rows = chunked_rows(df, [F.col("cbmarq")], size=5000)
     assert rows.filter(F.col("chunk_index") == 1).agg(F.min("cbmarq")).first()[0] == 5000
+    assert rows.filter("cbmarq = 5003").first()["chunk_pos"] == 3
+
+
+def test_pages_with_few_distinct_or_far_apart_cursors(spark):
+    far = spark.createDataFrame([(c,) for c in [1, 2, 2, 2, 10 ** 15, 10 ** 15 + 1, 10 ** 15 + 1, 10 ** 18]], "cbmarq long")
+    assert [r[0] for r in cursor_page(far, 0, size=3).collect()] == [1, 2, 2]
+    assert cursor_page_tie_safe(far, 0, size=3).count() == 4 and cursor_page_tie_safe(far, 2, size=100).count() == 4
+    assert cursor_page(far, 10 ** 18, size=3).count() == 0 and cursor_page_tie_safe(far, 10 ** 18, size=3).count() == 0
 
 
 def test_heartbeat_sessions_and_gaps(spark):
@@ -76,40 +89,122 @@ def test_heartbeat_sessions_and_gaps(spark):
     assert g == [(1, 25 * 60.0)]                                       # 12 h exactly is not "silent > limit"
 
 
-def test_sync_cycle_isolates_failures(spark):
+def _tables(spark, n):
     from minitables import MiniTables, ledger_row, party
-    from ledgerflow.streaming.sync import run_sync_cycle
-    rows = [ledger_row(i, "2001-01-10", "512000", "C1", "10.00") for i in range(1, 8)]
-    t = MiniTables(spark, rows, [party("C1", "x")])
-    seen = []
+    rows = [ledger_row(i, "2001-01-10", "512000", "C1", "10.00") for i in range(1, n + 1)]
+    return MiniTables(spark, rows, [party("C1", "x")])
+
+
+def test_sync_cycle_isolates_failures(spark, scratch):
+    state, sink = SyncState(spark, f"{scratch}/state"), BatchSink(spark, f"{scratch}/sink")
+    state.set("VW_TRESORERIE", 3)
     # the stock views need article tables that MiniTables does not have: they fail, the others go on
-    res, err = run_sync_cycle(t, "2001-07-15", {"VW_TRESORERIE": 3},
-                              ["VW_TRESORERIE", "VW_STOCKS", "VW_GRAND_LIVRE_GENERAL"],
-                              sink=lambda name, df: seen.append(name))
-    assert "VW_STOCKS" in err and set(res) == {"VW_TRESORERIE", "VW_GRAND_LIVRE_GENERAL"}
+    res, err = run_sync_cycle(_tables(spark, 7), "2001-07-15", state, sink, ["VW_TRESORERIE", "VW_STOCKS", "VW_GRAND_LIVRE_GENERAL"])
+    assert set(err) == {"VW_STOCKS"} and set(res) == {"VW_TRESORERIE", "VW_GRAND_LIVRE_GENERAL"}
     assert res["VW_TRESORERIE"] == {"rows": 4, "cursor": 7, "mode": "INCREMENTAL"}
-    assert res["VW_GRAND_LIVRE_GENERAL"]["rows"] == 7 and seen == ["VW_TRESORERIE", "VW_GRAND_LIVRE_GENERAL"]
+    assert res["VW_GRAND_LIVRE_GENERAL"]["rows"] == 7 == sink.read("VW_GRAND_LIVRE_GENERAL").count()
+    assert {r["view_name"]: r["total_rows"] for r in state.snapshot().collect()} == {"VW_TRESORERIE": 4, "VW_GRAND_LIVRE_GENERAL": 7}
+    # nothing new: the next cycle ships no row and keeps the cursor
+    res, _ = run_sync_cycle(_tables(spark, 7), "2001-07-15", state, sink, ["VW_TRESORERIE"])
+    assert res["VW_TRESORERIE"] == {"rows": 0, "cursor": 7, "mode": "INCREMENTAL"}
+
+
+def test_sync_cycle_loses_no_tied_rows(spark, scratch, monkeypatch):
+    from ledgerflow.plans import views
+    # groups of three equal cursors; the page's border falls inside one, the view is larger than a page
+    frame = spark.range(40).select(F.col("id"), (F.col("id") - F.col("id") % 3 + 1).alias("watermark_sync"))
+    monkeypatch.setattr(views, "view", lambda t, as_of, name: frame)
+    for size in (None, 7):
+        state, sink = SyncState(spark, f"{scratch}/state{size}"), BatchSink(spark, f"{scratch}/sink{size}")
+        res, err = run_sync_cycle(None, "", state, sink, ["VW_STOCKS"], page_size=size)
+        assert not err and res["VW_STOCKS"] == {"rows": 40, "cursor": 40, "mode": "INCREMENTAL"}
+        assert sorted(r["id"] for r in sink.read("VW_STOCKS").select("id").collect()) == list(range(40))
+
+
+def test_stored_state(spark, scratch):
+    state = SyncState(spark, f"{scratch}/s")
+    assert state.get("V") == 0 and state.cursors().count() == 0
+    state.set("V", 5)
+    state.set("W", 9)
+    state.set("V", 8)
+    again = SyncState(spark, f"{scratch}/s")
+    assert again.get("V") == 8 and again.get("W") == 9
+    again.reset()
+    assert {r["view_name"]: r["cursor"] for r in state.cursors().collect()} == {"V": 0, "W": 0}
+    rows = lambda *x: spark.createDataFrame(list(x), "name string, value string")
+    state.insert_absent(rows(("a", "1"), ("b", "2")))
+    state.insert_absent(rows(("a", "3"), ("c", "4")))
+    state.upsert(rows(("b", "5")))
+    assert {r["name"]: r["value"] for r in state.parameters().collect()} == {"a": "1", "b": "5", "c": "4"}
+
+
+def test_due_views(spark, scratch):
+    state = SyncState(spark, f"{scratch}/s")
+    config = {"A": (15, "FULL"), "B": (0, "FULL")}
+    assert due_now(state, config) == ["A", "B"]
+    state.record("A", "b1", "FULL", 0, None, 3)
+    state.record("B", "b2", "FULL", 0, None, 3)
+    assert due_now(state, config) == ["B"]
 
 
 def test_payload_json_per_chunk(spark):
     import json
-    from ledgerflow.streaming.sync import to_payload
-    df = spark.range(7).select(F.col("id").alias("cbmarq"), (F.col("id") * 2).alias("v"))
-    rows, env = chunk_envelopes(df, [F.col("cbmarq")], "V", "INCREMENTAL", 0, 6, size=3)
+    df = spark.range(7).select(F.col("id").alias("cbmarq"), F.when(F.col("id") % 2 == 0, F.col("id") * 2).alias("v"))
+    rows = chunked_rows(df, [F.col("cbmarq")], size=3)
+    env = chunk_envelopes(df, "V", "INCREMENTAL", 0, F.max("cbmarq"), size=3)
     docs = sorted((json.loads(r["payload"]) for r in to_payload(rows, env).collect()),
                   key=lambda d: d["rows"][0]["cbmarq"])
     assert [d["row_count"] for d in docs] == [3, 3, 1]
-    assert [d.get("watermark_max") for d in docs] == [None, None, 6]
-    assert sorted(x["v"] for d in docs for x in d["rows"]) == [0, 2, 4, 6, 8, 10, 12]
+    assert [d["watermark_max"] for d in docs] == [None, None, 6]           # null is written, not left out
+    assert [x for d in docs for x in d["rows"]] == [{"cbmarq": i, "v": None if i % 2 else 2 * i} for i in range(7)]
 
 
 def test_adhoc_query_policy_and_cap(spark):
-    import pytest
-    from minitables import MiniTables, ledger_row, party
-    from ledgerflow.plans.views import adhoc_query
-    rows = [ledger_row(i, "2001-01-10", "512000", "C1", "10.00") for i in range(1, 30)]
-    t = MiniTables(spark, rows, [party("C1", "x")])
-    assert adhoc_query(t, "2001-07-15", "SELECT TOP 5 * FROM VW_TRESORERIE ORDER BY ec_no").count() == 5
-    assert adhoc_query(t, "2001-07-15", "select ec_no from VW_TRESORERIE", max_rows=7).count() == 7
-    with pytest.raises(PermissionError):
-        adhoc_query(t, "2001-07-15", "SELECT * FROM VW_TRESORERIE; DROP TABLE x")
+    from ledgerflow.plans.views import adhoc_query, adhoc_result
+    t, day = _tables(spark, 29), "2001-07-15"
+    assert adhoc_query(t, day, "SELECT TOP 5 * FROM VW_TRESORERIE ORDER BY ec_no").count() == 5
+    assert adhoc_query(t, day, "select ec_no from VW_TRESORERIE", max_rows=7).count() == 7
+    assert adhoc_query(t, day, "SELECT COUNT(*) AS n FROM (SELECT TOP 10 * FROM VW_TRESORERIE) q").first()["n"] == 10
+    assert adhoc_query(t, day, "SELECT 'TOP 5' AS s, 'it''s TOP 3' AS u FROM VW_TRESORERIE").first()["s"] == "TOP 5"
+    assert adhoc_query(t, day, "SELECT TOP (2) ec_no FROM VW_TRESORERIE UNION ALL SELECT TOP 3 ec_no FROM VW_TRESORERIE").count() == 5
+    got = adhoc_result(t, day, "SELECT DISTINCT TOP 3 ec_no FROM VW_TRESORERIE ORDER BY ec_no;")
+    assert got["columns"] == ["ec_no"] and got["row_count"] == 3 and got["rows"][0] == {"ec_no": 1} and got["duration_ms"] >= 0
+    spark.range(1).createOrReplaceTempView("private_table")
+    for bad in ("SELECT * FROM VW_TRESORERIE; DROP TABLE x", "SELECT COUNT(*) FROM parquet.`/root/testdata/sf0.001/customer.parquet`",
+                "SELECT * FROM VW_TRESORERIE a, private_table b", "SELECT * FROM VW_TRESORERIE, parquet.`/x`", "SELECT * FROM private_table",
+                "SELECT (SELECT MAX(id) FROM VW_TRESORERIE, private_table) AS m", "SELECT * FROM VW_TRESORERIE, range(5)"):
+        with pytest.raises(PermissionError):
+            adhoc_query(t, day, bad)
+
+
+def test_registering_views_starts_no_job(spark):
+    from ledgerflow.plans.views import register_views
+    from ledgerflow.registry import tables
+    t = tables(spark, "/root/testdata/sf0.001")
+    register_views(t, "2001-07-15")          # file footers are read the first time
+    sc = spark.sparkContext
+    sc.setJobGroup("views", "deployment")
+    done = register_views(t, "2001-07-15")
+    assert len(done) == 15 and sc.statusTracker().getJobIdsForGroup("views") == []
+    sc.setJobGroup("", "")
+    assert len(spark.table("VW_PAIE").columns) == 16
+
+
+def test_heartbeats_match_row_by_row_sessions(spark):
+    import random
+    rnd = random.Random(2)
+    start = dt.datetime(2024, 1, 1)
+    beats = [(a, start + dt.timedelta(hours=rnd.choice([0, 12, 24, rnd.uniform(0, 400)]))) for a in range(5) for _ in range(60)]
+    got = sorted(tuple(r) for r in heartbeat_sessions_df(spark.createDataFrame(beats, "agent_id long, ts timestamp_ntz"))
+                 .select("agent_id", "first_beat", "last_beat", "n_beats").collect())
+    want = []
+    for a in range(5):
+        mine = sorted(t for b, t in beats if b == a)
+        run = [mine[0]]
+        for t in mine[1:]:
+            if t - run[-1] > dt.timedelta(hours=12):
+                want.append((a, run[0], run[-1], len(run)))
+                run = []
+            run.append(t)
+        want.append((a, run[0], run[-1], len(run)))
+    assert got == sorted(want)
