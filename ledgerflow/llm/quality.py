@@ -80,18 +80,23 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+#: Per rule its cutoffs from lenient to strict.
+CUTOFFS = {
+    "symbols": [round(4 * 2 ** (-j / 4), 6) for j in range(33)],
+    "repeated_words": [round(0.5 - 0.0125 * j, 6) for j in range(33)],
+    "repeated_lines": [round(0.9 - 0.025 * j, 6) for j in range(33)],
+    "long_words": [round(40 * 2 ** (-j / 10), 6) for j in range(33)],
+    "short_words": [round(-1 - 0.1 * j, 6) for j in range(33)],
+}
+
+
 def rules() -> dict[str, tuple[Column, list[float]]]:
-    """Name: (value, cutoffs from lenient to strict); a rule rejects value >= cutoff."""
+    """Name: (value, cutoffs); a rule rejects value >= cutoff."""
     per_word = lambda c: F.col(c) / F.greatest(F.col("n_words"), F.lit(1))
-    falling = [round(4 * 2 ** (-j / 4), 6) for j in range(33)]
-    return {
-        "symbols": (per_word("n_symbols"), falling),
-        "repeated_words": (per_word("n_repeat_words"), [round(0.5 - 0.0125 * j, 6) for j in range(33)]),
-        "repeated_lines": (F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-                           [round(0.9 - 0.025 * j, 6) for j in range(33)]),
-        "long_words": (per_word("word_chars"), [round(40 * 2 ** (-j / 10), 6) for j in range(33)]),
-        "short_words": (-per_word("word_chars"), [round(-1 - 0.1 * j, 6) for j in range(33)]),
-    }
+    values = {"symbols": per_word("n_symbols"), "repeated_words": per_word("n_repeat_words"),
+              "repeated_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
+              "long_words": per_word("word_chars"), "short_words": -per_word("word_chars")}
+    return {name: (values[name], cutoffs) for name, cutoffs in CUTOFFS.items()}
 
 
 def log_gamma(x: Column) -> Column:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .oracles import JACCARD, REPEATS, REVISITS, WORDS, quality_sql
+from .quality import CUTOFFS
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -59,11 +62,16 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
     from .quality import judge
 
     rows = judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       "base_failed", "kept", "failed_rules")
+                       "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+ORACLE["op3_quality_rules"] = quality_sql(CUTOFFS)
 
 
 @query
@@ -74,6 +82,9 @@ def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+ORACLE["op6_warc_revisits"] = REVISITS
+
+
 @query
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mainext import extract
@@ -88,6 +99,9 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+ORACLE["op5_ngram_jaccard"] = JACCARD
+
+
 @query
 def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .repeats import remove_repeats
@@ -95,6 +109,9 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), length=50)
 
 
+ORACLE["op10_repeated_spans"] = REPEATS
+
+
 @query
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan_licenses
@@ -118,9 +135,6 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("r.doc_id", "domain", "r.lang", "r.source", "n_tokens", "copies")
 
 
-_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
-
-
 def _weight_sql(weights: dict[str, int], name: str) -> str:
     return f"CASE {name} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 0 END"
 
@@ -143,7 +157,7 @@ def _fill_sql(level: str, parents: str, path: str, weight: str, above: str) -> s
 
 ORACLE["op7_source_mixing"] = f"""
 WITH rows_ AS (
-    SELECT doc_id, lang, source, len({_WORDS}) AS n_tokens, coalesce(lang, '') AS l, coalesce(source, '') AS s,
+    SELECT doc_id, lang, source, len({WORDS}) AS n_tokens, coalesce(lang, '') AS l, coalesce(source, '') AS s,
            CASE regexp_extract(coalesce(source, ''), '(\\d+)', 1) WHEN '' THEN 'web' ELSE
              ['web', 'books', 'code'][right(regexp_extract(coalesce(source, ''), '(\\d+)', 1), 9)::INT % 3 + 1] END AS d FROM documents),
   top AS (SELECT d, l, s, sum(n_tokens)::BIGINT AS supply, floor(sum(sum(n_tokens)) OVER () * 0.6)::DOUBLE AS share,
