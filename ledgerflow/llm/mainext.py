@@ -50,8 +50,10 @@ CLOSE_P = BLOCK - {"br", "body", "html"}
 #: Whole words of a class, id or role that name furniture.
 FURNITURE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|menu|menubar|nav|navbar|navigation|breadcrumbs?|sidebar|"
-    r"side-bar|complementary|contentinfo|footer|comments?|disqus|respond|replies|cookies?|consent|notices?|newsletter|subscribe|"
+    r"side-bar|complementary|contentinfo|footer|comments?|disqus|respond|replies|cookies?|consent|gdpr|notices?|notifications?|alerts?|announcements?|disclaimer|newsletter|subscribe|"
     r"popup|modal|share|sharing|social|related|widget|search|login|signup|pagination|pager|skip-?link)(?:$|[\s_-])", re.I)
+#: Words that do so outside an article only: inside, they name the head of the text.
+PAGE_HEAD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|top-bar|navbar-brand)(?:$|[\s_-])", re.I)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WHITE = re.compile(r"\s+")
 
@@ -68,23 +70,27 @@ class Node:
 def _is_furniture(tag: str, attributes: str, node: Node) -> bool:
     if tag in DROPPED:
         return True
-    if tag in ("header", "footer"):
-        # those of an article's sections are furniture too, but for a header that carries its headline
-        at: Node | None = node
-        while at is not None and at.tag not in ("article", "main"):
-            at = at.parent
-        return tag == "footer" or at is None
+    if tag == "footer" or tag == "header" and not _in_article(node):
+        return True  # an article's header carries its headline
     if attributes and tag not in ("html", "body", "article", "main"):
         for name, *values in _NAMED.findall(attributes):
             value = next((v for v in values if v), "")
             name = name.lower()
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 return True
-            if name in ("class", "id", "role") and FURNITURE.search(value):
+            if name in ("class", "id", "role") and (
+                    FURNITURE.search(value) or PAGE_HEAD.search(value) and not _in_article(node)
+                    and not re.search("article|post|entry|content|story", value, re.I)):
                 return True
     return False
 
 
+def _in_article(node: Node | None) -> bool:
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
 def parse(page: str) -> Node:
     """The tree of a page; strings are text, :class:`Node` elements.  Malformed
     markup is closed the way browsers do for paragraphs, lists and tables."""

@@ -16,6 +16,10 @@ LONG = "A long enough sentence of the article that says something, in many plain
     ("<article><p>one</p><script>if (a<b) {'</p>'}</script><style>p{}</style><!-- <p>no</p> --><p>two</p></article>", "one\ntwo"),
     ("<article><form><p>mail</p><input></form><p>text</p><div class='ad'>buy</div><section id=comments><p>first!</p></section></article>", "text"),
     ("<div role=navigation>n</div><article><header><h1>H</h1></header><p>t</p><footer>by</footer></article><header>top</header>", "H\nt"),
+    ("<div class='site-header'>Site</div><div id=cookie-notice>ok?</div><article><div class=article-header><h1>H</h1></div><p>t</p></article>"
+     "<div class='comment-list'><p>first</p></div>", "H\nt"),
+    ("<div class='page-header'>Site name</div><div><h1 class='post-header'>H</h1><p>" + "long text here " * 30 + "</p></div>",
+     "H\n" + ("long text here " * 30).strip()),
     ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></article>", "a\nb\nc\nd"),
     ("<article><p>a <p title='x>y'>b</p><p class=\"unclosed>c</article>", "a\nb\nc"),
     ("<ARTICLE><P>Upper</P></ARTICLE>", "Upper"),
