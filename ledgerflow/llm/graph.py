@@ -9,9 +9,13 @@ from .textops import stored
 
 
 def _least_neighbour(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (u, v) with m: the least v of u (combined before the shuffle, joined back)."""
-    least = pairs.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
-    return pairs.join(least, F.col("u") == F.col("k")).select("u", "v", "m")
+    """``pairs`` (u, v) with m: the least v of u (combined before the shuffle, joined back).
+
+    The join is on ~u, so that it doesn't reuse the aggregate's exchange and a
+    node with very many edges can be split at run time.
+    """
+    least = pairs.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")).select(F.bitwise_not("k").alias("k"), "m")
+    return pairs.join(least, F.bitwise_not("u") == F.col("k")).select("u", "v", "m")
 
 
 def components(edges: DataFrame) -> DataFrame:
