@@ -99,10 +99,10 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = SHA256, fi
     texts = texts.withColumn("digest", digest(F.col("text")))
     hits = stored(texts.join(state.where("group_size > 1").select("digest", F.col("keep.doc_id").alias("keep_id")), "digest"),
                   "dedup-hits")
-    stays = (hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-             .groupBy("digest").agg(F.min("text").alias("keep_text")))
-    differ = (hits.join(stays, "digest").where(F.col("text") != F.col("keep_text")).select("digest").distinct())
-    shared = stored(differ, "dedup-shared")
+    # (written, so that the join has its own exchange and a text with very many copies can be split)
+    stays = stored(hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+                   .groupBy("digest").agg(F.min("text").alias("keep_text")), "dedup-stays")
+    shared = stored(hits.join(stays, "digest").where(F.col("text") != F.col("keep_text")).select("digest"), "dedup-shared")
 
     grouped = headers.join(state, "digest").select(
         "doc_id", "row", "digest", F.col("keep.doc_id").alias("keep_id"), "group_size",
