@@ -107,10 +107,16 @@ def leaf_budgets(leaves: DataFrame, weights: Mapping[str, Mapping[str, float]],
     return found.withColumn("tokens", F.floor(F.col("share") + F.lit(1e-6)).cast("long")).drop("share", "usable")
 
 
-def _small(df: DataFrame, name: str) -> DataFrame:
-    """A table of leaves, written once, and broadcast if its checked size allows."""
-    df = stored(df, name)
-    return F.broadcast(df) if df.count() <= BROADCAST_LEAVES else df
+def _with_leaf(rows: DataFrame, leaves: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the columns of a table of leaves, which is written once and broadcast
+    if its checked size allows.  The join is on one key made of the names, so
+    that sums by name don't reuse its exchange and a large leaf can be split."""
+    names = [f"__{x}" for x in LEVELS]
+    leaves = stored(leaves, name)
+    key = F.to_json(F.struct(*names))
+    named = leaves.select(key.alias("__leaf"), *[c for c in leaves.columns if c not in names])
+    small = leaves.count() <= BROADCAST_LEAVES
+    return rows.join(F.broadcast(named) if small else named, key == F.col("__leaf")).drop("__leaf")
 
 
 def leaf_cuts(rows: DataFrame, budgets: DataFrame, seed: int) -> DataFrame:
@@ -121,18 +127,18 @@ def leaf_cuts(rows: DataFrame, budgets: DataFrame, seed: int) -> DataFrame:
     """
     names = [f"__{x}" for x in LEVELS]
     whole = F.when(F.col("supply") > 0, F.floor(F.col("tokens") / F.col("supply"))).otherwise(0).cast("long")
-    wanted = _small(budgets.withColumn("whole", whole).select(
-        *names, "whole", (F.col("tokens") - F.col("whole") * F.col("supply")).alias("rest")), "mix-wanted")
-    part = (rows.join(wanted.where("rest > 0"), names).withColumn("key", epoch_key(seed, F.col("whole"), F.col("doc_id")))
-            .withColumn("before", F.lit(0).cast("long")))
+    wanted = budgets.withColumn("whole", whole).select(
+        *names, "whole", (F.col("tokens") - F.col("whole") * F.col("supply")).alias("rest"))
+    part = (_with_leaf(rows, wanted.where("rest > 0"), "mix-wanted")
+            .withColumn("key", epoch_key(seed, F.col("whole"), F.col("doc_id"))).withColumn("before", F.lit(0).cast("long")))
     for level in (1, 2):
         # tokens per range of keys; the prefix ends in the first range that does not fit whole
         part = part.withColumn("range", F.shiftright("key", _KEY_BITS - 12 * level))
         sums = part.groupBy(*names, "rest", "before", "range").agg(F.sum("__n").alias("n"))
         upto = F.col("before") + F.sum("n").over(Window.partitionBy(*names).orderBy("range"))
-        last = _small(sums.withColumn("upto", upto).where("upto > rest").groupBy(*names).agg(
-            F.min(F.struct("range", (F.col("upto") - F.col("n")).alias("start"))).alias("last")), "mix-range")
-        part = (part.join(last, names).where(F.col("range") == F.col("last.range"))
+        last = stored(sums.withColumn("upto", upto).where("upto > rest").groupBy(*names).agg(
+            F.min(F.struct("range", (F.col("upto") - F.col("n")).alias("start"))).alias("last")), "mix-last")
+        part = (_with_leaf(part, last, "mix-range").where(F.col("range") == F.col("last.range"))
                 .withColumn("before", F.col("last.start")).drop("range", "last"))
     # what is left of a leaf is one 2^24th of its keys
     upto = F.col("before") + F.sum("__n").over(Window.partitionBy(*names).orderBy("key", "doc_id", "__n"))
@@ -151,8 +157,7 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, Mapping[str, float]], dom
     leaves = stored(rows.groupBy(*names).agg(F.sum("__n").alias("supply")), "mix-supply")
     budget = F.floor(leaves.select(F.coalesce(F.sum("supply"), F.lit(0))).scalar() * F.lit(share))
     budgets = stored(leaf_budgets(leaves, weights, budget, epochs), "mix-budgets")
-    cuts = _small(leaf_cuts(rows, budgets, seed), "mix-cuts")
-    own = table.join(cuts, names).withColumn("__key", epoch_key(seed, F.col("whole"), F.col("doc_id")))
+    own = _with_leaf(table, leaf_cuts(rows, budgets, seed), "mix-cuts").withColumn("__key", epoch_key(seed, F.col("whole"), F.col("doc_id")))
     within = F.coalesce(F.struct(F.col("__key").alias("key"), "doc_id", "__n") <= F.col("end"), F.col("__key") < F.col("edge"), F.lit(False))
     return own.select("r", F.col("__domain").alias("domain"), F.col("__n").alias("n_tokens"),
                       (F.col("whole") + F.when(within, 1).otherwise(0)).alias("copies"))
