@@ -81,7 +81,10 @@ def resolve(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     originals = (rows.where(F.col("bytes") >= min_bytes).groupBy("sha1", "sha256")
                  .agg(F.max(F.struct("page_id", "url")).alias("o"))
                  .select("sha1", "sha256", F.col("o.page_id").alias("original"), F.col("o.url").alias("original_url")))
-    joined = rows.join(originals, ["sha1", "sha256"], "left")
+    # on one joined key, which is no exchange of the aggregate's: a payload that very many pages
+    # share can be split at run time
+    originals = originals.select(F.concat("sha1", "sha256").alias("__payload"), "original", "original_url")
+    joined = rows.join(originals, F.concat("sha1", "sha256") == F.col("__payload"), "left")
     own = F.col("original").eqNullSafe(F.col("page_id")) | (F.col("bytes") < min_bytes)
     return joined.select("page_id", "url", "sha1", "bytes", F.when(own, F.col("html")).alias("html"), "original", "original_url")
 
