@@ -94,9 +94,9 @@ def _band_values(mins: list[np.ndarray]) -> np.ndarray:
 
 
 def _permuted(shingles: np.ndarray, number: int) -> np.ndarray:
-    """Order of the shingles in permutation ``number``."""
-    x = (shingles ^ np.uint64(0x9E3779B97F4A7C15 * (number + 1) & (1 << 64) - 1)) * np.uint64(0xD1342543DE82EF95)
-    return x ^ (x >> np.uint64(32))
+    """Order of the shingles in permutation ``number``: their hashes are random, so which one is
+    nearest to a random point in the order of bits is so too."""
+    return shingles ^ mix(np.array([number + 1], np.uint64))[0]
 
 
 def compile_templates(templates: Mapping[str, str], k: int = 5, containment: float = 0.8, rows: int = 1,
