@@ -9,12 +9,16 @@ LC and LT those inside links; its composite density is
 (zeros below a bar count as 1), so text in few tags and outside links is dense.
 The node with the largest sum of its children's densities is the main content;
 the threshold is the least density on the path from the body to it, and every
-subtree that holds content, is at least that dense and isn't part of the page's
-furniture belongs to the result.
+subtree that holds content outside links, is at least that dense and isn't part
+of the page's furniture belongs to the result, wherever it lies.  Afterwards the
+densest node is widened to the innermost article or main element around it,
+which is on that path; nothing else depends on these elements.
 
 Furniture (scripts, styles, forms, navigation, headers and footers of the page,
 asides, and blocks whose class, id or role names an advert, a menu, a notice, a
-side bar or comments) is taken out before densities are computed.
+side bar or comments) is taken out before densities are computed.  Names don't
+take out main elements and articles, which carry the page's state in theirs,
+but for articles inside others and those named a comment.
 
 Null and empty pages give an empty text; pages without markup are one block.
 Of equal sums the first node in page order is taken.  Repeated rows are
@@ -54,6 +58,8 @@ FURNITURE = re.compile(
     r"popup|modal|share|sharing|social|related|widget|search|login|signup|pagination|pager|skip-?link)(?:$|[\s_-])", re.I)
 #: Words that do so outside an article only: inside, they name the head of the text.
 PAGE_HEAD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|top-bar|navbar-brand)(?:$|[\s_-])", re.I)
+#: Names of an article that is a reader's comment ("comments-open" is a state of the page's own).
+COMMENT = re.compile(r"(?:^|\s)(?:comment|reply)(?:[_-](?:\d+|body|item|entry|content))?(?:$|\s)", re.I)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WHITE = re.compile(r"\s+")
 
@@ -72,21 +78,25 @@ def _is_furniture(tag: str, attributes: str, node: Node) -> bool:
         return True
     if tag == "footer" or tag == "header" and not _in_article(node):
         return True  # an article's header carries its headline
-    if attributes and tag not in ("html", "body", "article", "main"):
+    if attributes and tag not in ("html", "body", "main"):
+        own = tag == "article" and not _in_article(node, ("article",))
         for name, *values in _NAMED.findall(attributes):
             value = next((v for v in values if v), "")
             name = name.lower()
-            if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            if not own and (name == "hidden" or name == "aria-hidden" and value.lower() == "true"):
                 return True
-            if name in ("class", "id", "role") and (
+            if own:
+                if name in ("class", "id", "role") and COMMENT.search(value):
+                    return True
+            elif name in ("class", "id", "role") and (
                     FURNITURE.search(value) or PAGE_HEAD.search(value) and not _in_article(node)
                     and not re.search("article|post|entry|content|story", value, re.I)):
                 return True
     return False
 
 
-def _in_article(node: Node | None) -> bool:
-    while node is not None and node.tag not in ("article", "main"):
+def _in_article(node: Node | None, tags: tuple[str, ...] = ("article", "main")) -> bool:
+    while node is not None and node.tag not in tags:
         node = node.parent
     return node is not None
 
@@ -205,19 +215,16 @@ def main_text(page: str | None) -> str:
         return ""
     root = parse(page)
     best = measure(root)
-    # an article or main element around the densest node is the content's frame
-    frame = best
-    while frame is not None and frame.tag not in ("article", "main"):
-        frame = frame.parent
-    if frame is None and (named := [n for n in _walk(root) if n.tag in ("article", "main") and n.chars >= best.chars]):
-        frame = max(named, key=lambda n: n.total)
-    if frame is not None:
-        return "\n".join(_blocks([frame]))
     path, node = [], best
     while node is not None and node.tag != "html":
         path.append(node.density)
         node = node.parent
     threshold = min(path, default=0.0)
+    # the article around the densest node lies on that path: it comes whole
+    frame = best
+    while frame is not None and frame.tag not in ("article", "main"):
+        frame = frame.parent
+    best = frame or best
     chosen: list[Node] = []
     stack = [root.children[0]]
     inside = set()
@@ -227,9 +234,9 @@ def main_text(page: str | None) -> str:
         node = node.parent
     while stack:
         node = stack.pop()
-        if node is best or id(node) not in inside and node.density >= threshold and node.chars and node.tag in BLOCK:
+        if node is best or id(node) not in inside and node.density >= threshold and node.chars > node.link_chars:
             chosen.append(node)
-        elif id(node) in inside:
+        else:
             stack += [c for c in reversed(node.children) if isinstance(c, Node) and not c.furniture]
     return "\n".join(_blocks(chosen or [best]))
 

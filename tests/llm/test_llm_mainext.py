@@ -42,6 +42,28 @@ def test_densest_node_and_threshold():
     assert best.tag == "div" and best.density > root.children[0].children[1].density
 
 
+def test_dense_subtrees_beside_the_densest_article_belong_to_the_result():
+    p = lambda c: f"<p>{c * 300}</p>"
+    both = [c * 300 for c in "abcde"]
+    two = f"<article>{p('a') * 3}</article><article>{p('d') * 2}</article>"
+    assert main_text(f"<body>{two}</body>") == "\n".join(["a" * 300] * 3 + ["d" * 300] * 2)
+    assert main_text(f"<body><article>{p('a')}{p('b')}{p('c')}</article><div><div>{p('d')}{p('e')}</div></div></body>") == "\n".join(both)
+    assert main_text(f"<body><div><div>{p('a')}{p('b')}{p('c')}</div></div><section>{p('d')}{p('e')}</section></body>") == "\n".join(both)
+    # a dense part of a thin one
+    links = "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(30))
+    assert main_text(f"<article>{p('a')}{p('b')}{p('c')}</article><div><ul>{links}</ul><section>{p('d')}{p('e')}</section></div>") == "\n".join(both)
+    assert main_text(f"<main>{p('a')}{p('b')}{p('c')}</main><div><ul>{links}</ul></div>") == "\n".join(both[:3])
+
+
+def test_comment_articles_are_furniture():
+    p = lambda c: f"<p>{c * 300}</p>"
+    for comment in ("<article class='comment'>", "<article id=comment-12 class='byuser'>", "<article class=comment-body>"):
+        assert main_text(f"<article class='post has-sidebar comments-open'>{p('a')}{p('b')}{comment}{p('c')}</article></article>") == "a" * 300 + "\n" + "b" * 300
+        assert main_text(f"<main><article class=post>{p('a')}{p('b')}</article>{comment}{p('c') * 4}</article></main>") == "a" * 300 + "\n" + "b" * 300
+    assert main_text(f"<article>{p('a')}<article class='related'>{p('b') * 3}</article></article>") == "a" * 300
+    assert main_text(f"<article>{p('a')}<article class='part'>{p('b')}</article></article>") == "a" * 300 + "\n" + "b" * 300
+
+
 def test_deep_and_large_pages():
     assert main_text("<div>" * 5000 + "x" + "</div>" * 5000) == "x"
     assert main_text("<article>" + "<p>word</p>" * 20000 + "</article>").count("\n") == 19999
