@@ -13,6 +13,7 @@ equal texts and repeated ids are packed row by row; other columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +31,10 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.
                     ("ids_crc32", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 #: Arrow rows handed to one tokenizer call.
 TEXTS_PER_CALL = 256
+_WHITE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"  # the pattern's white space
+#: Runs that are kept from the pattern; its engine's stack ends between 100,000 and 1,000,000.
+LONG_RUN = 10_000
+_LONG = re.compile(f"(?<!{_WHITE}){_WHITE}{{{LONG_RUN},}}")
 
 
 class BestFit:
@@ -100,6 +105,23 @@ def byte_level_encoder(path: str):
     return tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode(encoder, text: str) -> list[int]:
+    """The encoder's ids, whatever the length of white-space runs.
+
+    The pattern ends a piece where a run begins, and takes a run whole, but for
+    its last character if text follows: such a run is merged as one piece.
+    """
+    if len(text) < LONG_RUN:
+        return encoder.encode_ordinary(text)
+    ids, end = [], 0
+    for m in _LONG.finditer(text):
+        to = m.end() - (m.end() < len(text))
+        ids += encoder.encode_ordinary(text[end:m.start()])
+        ids += encoder._encode_single_piece(text[m.start():to])
+        end = to
+    return ids + encoder.encode_ordinary(text[end:])
+
+
 _ENCODERS: dict[str, object] = {}
 
 
@@ -138,7 +160,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_i
             for at in range(0, len(ids_of), TEXTS_PER_CALL):
                 texts = [t or "" for t in batch.column("text").slice(at, TEXTS_PER_CALL).to_pylist()]
                 for doc_id, text in zip(ids_of[at:at + TEXTS_PER_CALL], texts):
-                    ids = np.append(np.array(encoder.encode_ordinary(text), "<u4"), np.uint32(end_id)).astype("<u4")
+                    ids = np.append(np.array(encode(encoder, text), "<u4"), np.uint32(end_id)).astype("<u4")
                     for p in _pieces(doc_id, ids, size):
                         bin_, offset = packer.put(p[3])
                         row = (*p, first + bin_, offset)

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -7,7 +8,8 @@ import public_tokenizers
 import pytest
 from llm_cases import awkward_rows, prose, table
 
-from ledgerflow.llm.pack import BestFit, byte_level_encoder, pack_documents
+from ledgerflow.llm import pack
+from ledgerflow.llm.pack import BestFit, byte_level_encoder, encode, pack_documents
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -25,6 +27,24 @@ def test_ids_equal_the_tokenizer_files_own_library(spark):
     assert [encoder.encode_ordinary(t or "") for t in texts] == _reference_ids(texts)
 
 
+@pytest.mark.parametrize("text", [" " * 10 ** 6, "\n" * 10 ** 6, "x" + " \n" * 500_000 + "y", "a  b\u3000" + "\t" * 200_000 + " c\u00a0" + " " * 300_000])
+def test_long_white_space(text):
+    assert encode(byte_level_encoder(PATH), text) == _reference_ids([text])[0]
+
+
+def test_runs_around_the_limit(monkeypatch):
+    monkeypatch.setattr(pack, "LONG_RUN", 3)
+    monkeypatch.setattr(pack, "_LONG", re.compile(pack._LONG.pattern.replace("10000", "3")))
+    rng, encoder = random.Random(5), byte_level_encoder(PATH)
+    texts = ["".join(rng.choices("  \n\t\u00a0\u3000\x1c\x85a1!'s", k=60)) for _ in range(3000)]
+    assert [encode(encoder, t) for t in texts] == _reference_ids(texts)
+
+
+def test_a_document_of_white_space_is_packed(spark):
+    rows = [(1, " " * 10 ** 6, "en", "s", 0), (2, "x" + "\n" * 10 ** 6 + "y", "en", "s", 0)]
+    _check(rows, pack_documents(table(spark, rows), PATH).collect(), 1024)
+
+
 @pytest.mark.parametrize("bins", [1, 2, 8, 1000])
 def test_best_fit_against_a_plain_one(bins):
     rng, packer, free, number = random.Random(bins), BestFit(64, bins), {}, 0
