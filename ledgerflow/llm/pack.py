@@ -85,8 +85,8 @@ def byte_level_encoder(path: str):
     """The tokenizer file's own merges as ranks for the faster public encoder.
 
     The file is a byte-level BPE in the ``tokenizers`` format whose ids follow
-    its merge order; results equal that library's (tested).  Special strings
-    in a text are ordinary text.
+    its merge order; results equal that library's (tested).  To this encoder
+    special strings in a text are ordinary text, see :func:`encode`.
     """
     import tiktoken
 
@@ -105,12 +105,31 @@ def byte_level_encoder(path: str):
     return tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def encode(encoder, text: str) -> list[int]:
+def added_tokens(path: str) -> dict[str, int]:
+    """The tokenizer file's added tokens; only such as match as they are."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+        raise ValueError("added tokens that match as they are are needed")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def encode(encoder, text: str, added: dict[str, int] | None = None) -> list[int]:
     """The encoder's ids, whatever the length of white-space runs.
 
+    Texts are split at ``added`` tokens, which get their ids, and the parts are
+    encoded one by one, as the ``tokenizers`` library does by default; without
+    them special strings are ordinary text (its ``encode_special_tokens``).
+
     The pattern ends a piece where a run begins, and takes a run whole, but for
     its last character if text follows: such a run is merged as one piece.
     """
+    if added and any(t in text for t in added):
+        longest = sorted(added, key=len, reverse=True)
+        ids = []
+        for part in re.split(f"({'|'.join(map(re.escape, longest))})", text):
+            ids += [added[part]] if part in added else encode(encoder, part)
+        return ids
     if len(text) < LONG_RUN:
         return encoder.encode_ordinary(text)
     ids, end = [], 0
@@ -127,7 +146,7 @@ _ENCODERS: dict[str, object] = {}
 
 def _encoder(path: str):
     if path not in _ENCODERS:
-        _ENCODERS[path] = byte_level_encoder(path)
+        _ENCODERS[path] = byte_level_encoder(path), added_tokens(path)
     return _ENCODERS[path]
 
 
@@ -142,15 +161,17 @@ def _pieces(doc_id, ids: np.ndarray, size: int) -> Iterator[tuple]:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_id: int = 2,
-                   open_bins: int = 256, regroup: int = 16) -> DataFrame:
+                   open_bins: int = 256, regroup: int = 16, special_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     ``docs`` has ``doc_id`` and ``text``.  Only documents longer than ``size``
-    are cut.  Leftovers of ``regroup`` tasks are packed together.
+    are cut.  Leftovers of ``regroup`` tasks are packed together.  With
+    ``special_ids`` the file's added tokens in a text get their own ids (the
+    ``tokenizers`` library's default), else they are ordinary text.
     """
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = _encoder(tokenizer_path), BestFit(size, open_bins)
+        (encoder, added), packer = _encoder(tokenizer_path), BestFit(size, open_bins)
         task = TaskContext.get().partitionId()
         first = task << 33
         held: dict[int, list] = {}  # the pieces of bins that are still open
@@ -160,7 +181,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_i
             for at in range(0, len(ids_of), TEXTS_PER_CALL):
                 texts = [t or "" for t in batch.column("text").slice(at, TEXTS_PER_CALL).to_pylist()]
                 for doc_id, text in zip(ids_of[at:at + TEXTS_PER_CALL], texts):
-                    ids = np.append(np.array(encode(encoder, text), "<u4"), np.uint32(end_id)).astype("<u4")
+                    ids = np.append(np.array(encode(encoder, text, added if special_ids else None), "<u4"), np.uint32(end_id)).astype("<u4")
                     for p in _pieces(doc_id, ids, size):
                         bin_, offset = packer.put(p[3])
                         row = (*p, first + bin_, offset)

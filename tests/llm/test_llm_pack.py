@@ -32,6 +32,32 @@ def test_long_white_space(text):
     assert encode(byte_level_encoder(PATH), text) == _reference_ids([text])[0]
 
 
+def _default_ids(texts):
+    from tokenizers import Tokenizer
+    return [e.ids for e in Tokenizer.from_file(PATH).encode_batch([x or "" for x in texts], add_special_tokens=False)]
+
+
+def test_added_tokens_get_their_ids():
+    end = "<|endoftext|>"
+    texts = [f"ab {end} cd", end, end * 3, f" \n{end}  {end}\n", f"x{end}y", "<|endoftext|", f"<{end}>", " " * 20_000 + end + " " * 20_000 + "z"]
+    texts += [r[1] or "" for r in awkward_rows()]
+    encoder, added = byte_level_encoder(PATH), pack.added_tokens(PATH)
+    assert [encode(encoder, t, added) for t in texts] == _default_ids(texts)
+
+
+def test_query_and_pipeline_take_the_librarys_default(spark, scratch):
+    import corpus_pipeline
+    from ledgerflow.llm.queries import QUERIES
+
+    rows = awkward_rows()
+    table(spark, rows).write.parquet(f"{scratch}/documents.parquet")
+    docs = spark.read.parquet(f"{scratch}/documents.parquet")
+    want = sorted(zlib.crc32(np.array(ids + [2], "<u4").tobytes()) for ids in _default_ids([r[1] for r in rows]) if len(ids) < 1024)
+    for got in (QUERIES["op9_best_fit_packing"](spark, scratch), corpus_pipeline.packing(spark, docs, scratch)):
+        long = {r["doc_id"] for r in got.where("piece > 0").collect()}
+        assert sorted(r["ids_crc32"] for r in got.collect() if r["doc_id"] not in long) == want
+
+
 def test_runs_around_the_limit(monkeypatch):
     monkeypatch.setattr(pack, "LONG_RUN", 3)
     monkeypatch.setattr(pack, "_LONG", re.compile(pack._LONG.pattern.replace("10000", "3")))
