@@ -18,7 +18,8 @@ Only DataFrame and SQL operations run here.  Null names form a leaf of their
 own, null and empty texts have no tokens (they come with any prefix they are
 ordered into), null identifiers are ordered as the text ``null``; repeated
 rows are ordered side by side and taken or left together only if they fit.  Names
-without a weight have weight 0 and get nothing.  Tables without rows give no rows.
+without a weight, null among them, each have the weight given under the key
+None; without that key it is 0 and they get nothing.  Tables without rows give no rows.
 """
 
 from __future__ import annotations
@@ -62,10 +63,12 @@ def keyed(docs: DataFrame, domain: Column) -> DataFrame:
                        tokens(F.col("text")).alias("__n"))
 
 
-def _weight(weights: Mapping[str, float], default: float, name: str) -> Column:
-    if not weights:
+def _weight(weights: Mapping[str | None, float], default: float, name: str) -> Column:
+    default = weights.get(None, default)
+    named = {k: v for k, v in weights.items() if k is not None}
+    if not named:
         return F.lit(float(default))
-    table = F.create_map(*[F.lit(x) for k, v in weights.items() for x in (k, float(v))])
+    table = F.create_map(*[F.lit(x) for k, v in named.items() for x in (k, float(v))])
     return F.coalesce(F.try_element_at(table, F.col(name)), F.lit(float(default)))
 
 
@@ -91,7 +94,7 @@ def _fill(children: DataFrame, parents: list[str], child: str) -> DataFrame:
             .drop("ratio", "filled", "weights", "place", "level", "water"))
 
 
-def leaf_budgets(leaves: DataFrame, weights: Mapping[str, Mapping[str, float]], budget: Column, epochs: int) -> DataFrame:
+def leaf_budgets(leaves: DataFrame, weights: Mapping[str, Mapping[str | None, float]], budget: Column, epochs: int) -> DataFrame:
     """``leaves`` (``__domain, __lang, __source, supply``) with ``tokens``: the whole tokens a leaf may spend."""
     names = [f"__{x}" for x in LEVELS]
     weight = {n: _weight(weights.get(x, {}), 0 if weights.get(x) else 1, n) for n, x in zip(names, LEVELS)}
@@ -147,7 +150,7 @@ def leaf_cuts(rows: DataFrame, budgets: DataFrame, seed: int) -> DataFrame:
     return wanted.select(*names, "whole").join(edge, names, "left").join(end, names, "left")
 
 
-def mix_sources(docs: DataFrame, weights: Mapping[str, Mapping[str, float]], domain: Column, share: float = 0.5,
+def mix_sources(docs: DataFrame, weights: Mapping[str, Mapping[str | None, float]], domain: Column, share: float = 0.5,
                 epochs: int = 1, seed: int = 1) -> DataFrame:
     """``r`` (the row of ``docs``), ``domain``, ``n_tokens`` and ``copies``: how often a row is in
     a mix of ``share`` times all tokens (0 if it is left out)."""

@@ -1,7 +1,7 @@
 from collections import defaultdict
 
 import pytest
-from llm_cases import awkward_rows, brute_components, table
+from llm_cases import awkward_rows, brute_components, prose, table
 
 import corpus_pipeline
 from ledgerflow.llm.queries import ORACLE, QUERIES
@@ -50,6 +50,15 @@ def test_mixing_stage_takes_effect(steps):
     assert words(steps[4]) <= 0.8 * words(steps[3])
 
 
+def test_mixing_stage_keeps_languages_without_a_weight(spark):
+    rows = [(i, prose(i, 20 + i % 30), ["en", "de", "pt", None][i % 4], f"src{i // 4 % 3}", 0) for i in range(1200)]
+    kept = {r["doc_id"] for r in corpus_pipeline.source_mixing(spark, table(spark, rows), SF).collect()}
+    words = lambda lang, ids=range(1200): sum(len(r[1].split()) for r in rows if r[2] == lang and r[0] in ids)
+    for lang in ("de", "pt", None):  # equal weights and supplies, equal shares
+        assert words(lang, kept) > 0.5 * words(lang)
+        assert abs(words(lang, kept) - words("de", kept)) <= 0.1 * words("de")
+
+
 def test_packing_stage(steps):
     assert {r["doc_id"] for r in steps[5]} == {r["doc_id"] for r in steps[4]}
 
