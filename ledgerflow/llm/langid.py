@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textops import slices, text_bytes
+from .textops import slices, stored, text_bytes
 
 BUCKETS = 1 << 16
 UND = "und"
@@ -182,7 +182,8 @@ def fit(docs: DataFrame, train: Column, per_language: int = 2000, seed: int = 17
         return Model(languages, code, np.zeros((BUCKETS + 1, 0), np.float32), *[np.zeros(0)] * 3)
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.lit(1 << 30))
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(min(1, per_language / n) * (1 << 30))))])
-    sample = labelled.where(draw < share[F.col("lang")])
+    # bounded, and written by as many tasks as the table has, before few tasks read it
+    sample = stored(labelled.where(draw < share[F.col("lang")]), "langid-sample")
     part = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id").cast("string")), F.lit(5))
     counts = _ngram_counts(sample.where(part != 0), languages, tasks).astype(np.float64)
     counts[:, BUCKETS] = 0

@@ -3,6 +3,7 @@ import pytest
 from llm_cases import awkward_rows, table
 from pyspark.sql import functions as F
 
+from ledgerflow.llm import langid
 from ledgerflow.llm.langid import accepted, codewords, fit, identify
 from ledgerflow.llm.queries import QUERIES, held_out
 
@@ -32,6 +33,14 @@ def test_labels_of_held_out_rows_and_other_columns_do_not_matter(spark):
     assert a == b
 
 
+def test_few_tasks_read_the_written_sample_only(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    count, files = langid._ngram_counts, []
+    monkeypatch.setattr(langid, "_ngram_counts", lambda rows, *a: files.extend(rows.inputFiles()) or count(rows, *a))
+    fit(docs, ~held_out())
+    assert files and all("/langid-sample" in f for f in files)
+
+
 def test_awkward_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = fit(docs, ~held_out(), per_language=50)
