@@ -175,3 +175,17 @@ WITH rows_ AS (
 SELECT doc_id, d AS domain, lang, source, n_tokens::BIGINT AS n_tokens,
        whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS copies FROM placed
 """
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from .bpe import decode_documents, encode_documents
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = decode_documents(encode_documents(_table(spark, sf_dir, "documents"), path), path)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("data", 256).alias("decoded_sha256"))
