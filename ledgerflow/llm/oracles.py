@@ -102,3 +102,72 @@ judged AS (SELECT m.*, concat_ws(',', {fails}) AS failed_rules FROM measured m {
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed_rules = '' AS kept, failed_rules
 FROM judged
 """
+
+#: The table of CRC-32 as a list, for the unsigned CRC-32 of a string's UTF-8 bytes.
+CRC_TABLE = """crc_table AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+def crc32_sql(text: str) -> str:
+    return f"""xor(list_reduce([4294967295::BIGINT] || list_transform(range(octet_length(encode({text}))),
+        lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def _field_sql(name: str) -> str:
+    text = f"({name})::VARCHAR"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _run_sql(part: str) -> str:
+    """Siblings left and right of a node in its run of eight."""
+    window = f"OVER (PARTITION BY {part}lv, i // 8 ORDER BY i ROWS BETWEEN"
+    return (f"coalesce(string_agg(d, '') {window} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+            f"coalesce(string_agg(d, '') {window} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r")
+
+
+MERKLE = f"""
+WITH RECURSIVE {CRC_TABLE},
+lower_ AS (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM documents),
+hashed AS (SELECT doc_id, lang, {_leaf_sql('text')} AS leaf,
+                  CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 3 = 0 THEN {_leaf_sql('lowered')} END AS changed FROM lower_, crc_table),
+leafs AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM hashed),
+node AS (SELECT lang, 0 AS lv, i, n, leaf AS d FROM leafs UNION ALL
+         SELECT lang, lv + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(d, '' ORDER BY i)) FROM node WHERE n > 1 GROUP BY lang, lv, i // 8),
+sub AS (SELECT lang, d, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM node WHERE n = 1),
+up AS (SELECT 0 AS lv, i, n, d FROM sub UNION ALL
+       SELECT lv + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(d, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY lv, i // 8),
+step AS (SELECT lang, lv, i, {_run_sql('lang, ')} FROM node WHERE n > 1),
+up_step AS (SELECT lv, i, {_run_sql('')} FROM up WHERE n > 1),
+walk AS (SELECT doc_id, lang, leaf, coalesce(changed, leaf) AS cur, '' AS proof, 0 AS lv, i, n FROM leafs UNION ALL
+         SELECT doc_id, w.lang, leaf, sha256(l || cur || r), proof || l || r, w.lv + 1, w.i // 8, (n + 7) // 8
+         FROM walk w JOIN step s ON s.lang IS NOT DISTINCT FROM w.lang AND s.lv = w.lv AND s.i = w.i),
+last_ AS (SELECT doc_id, leaf, sub.d AS subroot, cur, proof, 0 AS lv, sub.i, sub.n FROM walk w JOIN sub ON sub.lang IS NOT DISTINCT FROM w.lang WHERE w.n = 1
+          UNION ALL SELECT doc_id, leaf, subroot, sha256(l || cur || r), proof || l || r, w.lv + 1, w.i // 8, (n + 7) // 8
+          FROM last_ w JOIN up_step s ON s.lv = w.lv AND s.i = w.i)
+SELECT doc_id, leaf, subroot, up.d AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = up.d AS verified
+FROM last_, up WHERE last_.n = 1 AND up.n = 1
+"""
+
+SPELLING = rf"""
+WITH RECURSIVE {CRC_TABLE},
+run AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS r FROM documents),
+each AS (SELECT doc_id, r, count(*) AS c FROM run WHERE length(r) >= 5 GROUP BY doc_id, r),
+numbered AS (SELECT *, {crc32_sql("(doc_id || ':' || r)")} AS h FROM each, crc_table),
+read_ AS (SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, (h % length(r))::INT) || substr(r, (h % length(r))::INT + 2) ELSE r END AS word, c FROM numbered),
+word AS (SELECT word, sum(c)::BIGINT AS n FROM read_ WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word)))::INT AS i FROM word)),
+-- replaced in place i, or one without a letter that the other has
+near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+         UNION SELECT a.word, b.word, b.n FROM cut a JOIN word b ON a.rest = b.word
+         UNION SELECT b.word, a.word, a.n FROM cut a JOIN word b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS top, arg_min(near, (-near_n, near)) AS near FROM near GROUP BY word),
+form AS (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * n THEN near END AS form, CASE WHEN top >= 2 * n THEN top END AS form_n
+         FROM word w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS tip, 0 AS k FROM form UNION ALL SELECT c.word, f.form, k + 1 FROM chain c JOIN form f ON f.word = c.tip WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM form f JOIN (SELECT word, arg_max(tip, k) AS root FROM chain GROUP BY word) r USING (word)
+"""

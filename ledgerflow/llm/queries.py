@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .oracles import JACCARD, REPEATS, REVISITS, WORDS, quality_sql
+from .oracles import JACCARD, MERKLE, REPEATS, REVISITS, SPELLING, WORDS, quality_sql
 from .quality import CUTOFFS
 
 QUERIES: dict = {}
@@ -189,3 +189,33 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("data", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .merkle import fold, leaf_digest, manifest, proof_digest
+
+    docs = _table(spark, sf_dir, "documents")
+    fields, text = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], F.col("text")
+    tampered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    leaves = docs.select("doc_id", "lang", leaf_digest(*fields, text).alias("leaf"),
+                         F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, leaf_digest(*fields, tampered)).alias("changed"))
+    rows = manifest(leaves, "lang", "doc_id", "leaf", keep=("changed",))
+    rows = rows.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
+                       fold(F.coalesce("changed", "leaf"), F.col("proof")).alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+ORACLE["op12_merkle_manifest"] = MERKLE
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import spelling_forms
+
+    return spelling_forms(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_spelling_variants"] = SPELLING
