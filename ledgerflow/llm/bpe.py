@@ -25,7 +25,7 @@ import functools
 import itertools
 from array import array
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 #: Characters that the pattern may look at beyond a piece's end, plus one: a longer
 #: white-space run leaves its last character to the next piece.
 LOOKAHEAD = 2
-#: Pieces (characters) that a worker remembers; longer ones are not.
-REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
+#: Pieces that a worker remembers before the older half may go, and their longest (characters).
+REMEMBERED, LONGEST_REMEMBERED = 300_000, 64
 #: Texts of more characters are cut piece by piece instead of as one list.
 WHOLE_TEXT = 200_000
 #: Pieces of more bytes keep their prefix table for later edits.
@@ -113,9 +113,11 @@ class Encoder:
         self.ending = ahocorasick.Automaton()
         for i, t in enumerate(tokens):
             if left[i] != -2:
-                self.ending.add_word(t.decode("latin-1"), (i, len(t)))
+                self.ending.add_word(t.decode("latin-1"), i)
         self.ending.make_automaton()
-        self.apart: dict[int, bool] = {}
+        self.sizes = list(map(len, tokens))
+        self.apart: list[dict[int, bool]] = [{} for _ in tokens]  # by the second token
+        self.pairs = 0
         self.known = _Known(self)
 
     def stay_apart(self, a: int, b: int) -> bool:
@@ -126,12 +128,14 @@ class Encoder:
         join across comes first if it ranks below both next merges (or equal to the
         right one: the leftmost goes first).
         """
-        key = a << 32 | b
-        found = self.apart.get(key)
+        found = self.apart[b].get(a)
         if found is None:
-            if len(self.apart) > 1_000_000:
-                self.apart.clear()
-            found = self.apart[key] = self._stay_apart(a, b)
+            self.pairs += 1
+            if self.pairs > 2_000_000:
+                self.pairs = 0
+                for known in self.apart:
+                    known.clear()
+            found = self.apart[b][a] = self._stay_apart(a, b)
         return found
 
     def _stay_apart(self, a: int, b: int) -> bool:
@@ -157,7 +161,34 @@ class Encoder:
     def piece(self, data: bytes) -> list[int]:
         """Ids of one piece."""
         whole = self.ranks.get(data)
-        return [whole] if whole is not None else Prefixes(self, data).ids()
+        return [whole] if whole is not None else self.read_back(self.last_tokens(data))
+
+    def last_tokens(self, data: bytes) -> list[int]:
+        """The last token of every prefix of a piece."""
+        last: list[int] = []
+        size, sizes, apart, stay_apart, append = 0, self.sizes, self.apart, self.stay_apart, last.append
+        for end, token in self.ending.iter(data.decode("latin-1")):
+            if end < size:
+                continue
+            before = end - sizes[token]
+            if before >= 0:
+                before = last[before]
+                fits = apart[token].get(before)
+                if not (stay_apart(before, token) if fits is None else fits):
+                    continue
+            append(token)
+            size += 1
+        if size != len(data):
+            raise ValueError("a prefix has no encoding")
+        return last
+
+    def read_back(self, last: Sequence[int]) -> list[int]:
+        """The encoding of the longest prefix."""
+        out, at = [], len(last) - 1
+        while at >= 0:
+            out.append(last[at])
+            at -= self.sizes[last[at]]
+        return out[::-1]
 
     def pieces(self, text: str) -> Iterable[str]:
         if len(text) <= WHOLE_TEXT:
@@ -166,8 +197,6 @@ class Encoder:
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.pieces(text))), np.int32)
 
     def decode(self, ids: Iterable[int]) -> bytes:
@@ -175,15 +204,20 @@ class Encoder:
 
 
 class _Known(dict):
-    """Ids (as bytes) of the pieces met so far; long pieces are not kept."""
+    """Ids (as bytes) of the pieces met lately; long pieces are not kept."""
 
     def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, piece: str) -> bytes:
-        found = array("i", self.encoder.piece(piece.encode())).tobytes()
+        found = self.older.get(piece)
+        if found is None:
+            found = array("i", self.encoder.piece(piece.encode())).tobytes()
         if len(piece) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
             self[piece] = found
         return found
 
@@ -217,18 +251,15 @@ class Prefixes:
         size = first = len(last)
         # a token that ends at a new byte starts this far before it at most
         context = max(0, first - enc.longest + 1)
-        agreed, apart, stay_apart, append = 0, enc.apart, enc.stay_apart, last.append
-        text = self.data[context:] if context else self.data
-        for end, (token, length) in enc.ending.iter(text.decode("latin-1")):
+        agreed, text = 0, self.data[context:] if context else self.data
+        for end, token in enc.ending.iter(text.decode("latin-1")):
             end += context
             if end < size:
                 continue
-            if end >= length:
-                before = last[end - length]
-                fits = apart.get(before << 32 | token)
-                if not (stay_apart(before, token) if fits is None else fits):
-                    continue
-            append(token)
+            before = end - enc.sizes[token]
+            if before >= 0 and not enc.stay_apart(last[before], token):
+                continue
+            last.append(token)
             size += 1
             if end >= tail:
                 # all tokens that may end further on lie in unchanged bytes, and so do the entries they follow
@@ -241,12 +272,7 @@ class Prefixes:
             raise ValueError("a prefix has no encoding")
 
     def ids(self) -> list[int]:
-        out, at = [], len(self.last) - 1
-        while at >= 0:
-            token = self.last[at]
-            out.append(token)
-            at -= len(self.encoder.tokens[token])
-        return out[::-1]
+        return self.encoder.read_back(self.last)
 
 
 class EncodedText:
