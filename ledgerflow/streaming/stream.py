@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +24,10 @@ from ..session import scratch_path
 from .sync import NORMALIZED_LEDGER_SQL, PAGE_SIZE, normalize_records, resolve_cursor_column
 
 
+#: Called with the step ("data", "state") that is written, and the batch.
+BatchStep = Callable[[str, int], None]
+
+
 class LedgerSync:
     """One view synced from a folder of Parquet files to a sink folder.
 
@@ -49,7 +54,7 @@ class LedgerSync:
             return 0
         return self.spark.read.parquet(f"{self.state_dir}/batch_id={batch_id - 1}").first()["cursor"]
 
-    def process_batch(self, batch: DataFrame, batch_id: int) -> None:
+    def process_batch(self, batch: DataFrame, batch_id: int, done: BatchStep = lambda step, batch_id: None) -> None:
         """foreachBatch body; running it again for the same id changes nothing."""
         col = resolve_cursor_column(batch)
         before = self._previous_cursor(batch_id)
@@ -61,7 +66,8 @@ class LedgerSync:
         rows = normalize_records(self.view(batch.withColumn("__mid", F.monotonically_increasing_id())))
         col = resolve_cursor_column(rows)
         rows.write.mode("overwrite").parquet(f"{self.sink_dir}/{part}")
-        written = self.spark.read.parquet(f"{self.sink_dir}/{part}")
+        done("data", batch_id)
+        written = self.spark.read.schema(rows.schema).parquet(f"{self.sink_dir}/{part}")
         # one row per partition, and the batch's count and last cursor with it
         parts = written.groupBy(F.shiftright("__mid", 33).alias("part")).agg(
             F.count(F.lit(1)).alias("n"), (F.max(col) if col else F.lit(0)).cast("long").alias("c"))
@@ -73,23 +79,39 @@ class LedgerSync:
             # the cursor is stored after the data, and only moves up
             F.greatest(F.lit(before).cast("long"), F.coalesce("watermark_max", F.lit(0))).alias("cursor"),
             "parts").coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/{part}")
+        done("state", batch_id)
 
-    def run(self, schema, deliveries: int = 1, replayed: set[int] | None = None) -> None:
-        """Run the stream to the end of the available files.  ``deliveries``
-        > 1 hands micro-batches (all, or those in ``replayed``) to the sink
-        several times, as an at-least-once retry after a failure would."""
-        def sink(batch: DataFrame, batch_id: int) -> None:
-            n = deliveries if replayed is None or batch_id in replayed else 1
-            for _ in range(n):
-                self.process_batch(batch, batch_id)
+    def run(self, schema, done: BatchStep = lambda step, batch_id: None) -> None:
+        """Run the stream from its checkpoint to the end of the available files.
 
+        ``done`` is called with "data" or "state" and the batch once that is written; what it
+        raises ends the query, and the next ``run`` begins with the batch that was in flight."""
         stream = (self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.files_per_trigger)
                   .parquet(self.source_dir))
-        q = (stream.writeStream.foreachBatch(sink)
+        q = (stream.writeStream.foreachBatch(lambda batch, batch_id: self.process_batch(batch, batch_id, done))
              .option("checkpointLocation", self.checkpoint_dir)
              .trigger(availableNow=True).start())
         q.awaitTermination()
 
+    def run_through(self, schema, failures: list[tuple[str, int]]) -> int:
+        """``run`` until it ends by itself, where the query fails once after each of the
+        ``failures`` (step, batch) and is started again; the number of starts."""
+        left, starts = set(failures), 0
+
+        def fail(step: str, batch_id: int) -> None:
+            if (step, batch_id) in left:
+                left.discard((step, batch_id))
+                raise RuntimeError(f"batch {batch_id} ends after its {step}")
+
+        while True:
+            starts, before = starts + 1, len(left)
+            try:
+                self.run(schema, fail)
+                return starts
+            except StreamingQueryException:
+                if len(left) == before:
+                    raise
+
     def state(self) -> DataFrame:
         return self.spark.read.parquet(self.state_dir)
 
@@ -162,10 +184,11 @@ def stream_ledger_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT count(*) AS rows_synced, 0::BIGINT AS duplicates, max(cbmarq) AS cursor, true AS state_follows_batches FROM f_ecriturec
 """)
 def stream_watermark_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sync whose last batch is delivered twice (the batch in flight at a crash is run again
-    under its id): rows, duplicates and the final cursor equal a single delivery."""
+    """A sync whose query fails between a batch's data and its state, and in a later batch after its state,
+    and is restarted from its checkpoint each time: rows, duplicates and the final cursor equal a single delivery."""
     job, source = _ledger_sync(spark, sf_dir, "ledger-replay", 4)
-    job.run(source.schema, deliveries=2, replayed={-(-len(source.inputFiles()) // job.files_per_trigger) - 1})
+    last = -(-len(source.inputFiles()) // job.files_per_trigger) - 1
+    job.run_through(source.schema, [("data", 0), ("state", last)])
     rows = job.synced().agg(F.count(F.lit(1)).alias("rows_synced"),
                             (F.count(F.lit(1)) - F.count_distinct("id_ecriture")).alias("duplicates"))
     state = job.state().agg(F.max("cursor").alias("cursor"),

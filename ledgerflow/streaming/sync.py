@@ -13,7 +13,9 @@ batch time = ts, row count = props.k.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from ..operators.patterns import distributed_row_number, scalar
 from ..registry import register
 from ..session import scratch_path
-from .state import BatchSink, SyncState
+from .state import MANY_FILES, BatchSink, SyncState
 
 # Fixed values of the reference: rows per page / per ingest call, default
 # interval (minutes) of a view without configuration.
@@ -131,6 +133,10 @@ def normalize_records(df: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- I4
 
+#: Chunk numbers made from one row.
+CHUNK_BLOCK = 10_000
+
+
 def chunk_envelopes(rows: DataFrame, view_name: str, mode: str, cursor_min: int, cursor_max: int | Column | None,
                     schema_version: str = "unknown", size: int = PAGE_SIZE) -> DataFrame:
     """One envelope row per ingest chunk of ``size`` rows; cursor_max is only set on
@@ -140,7 +146,10 @@ def chunk_envelopes(rows: DataFrame, view_name: str, mode: str, cursor_min: int,
     n = rows.agg(F.count(F.lit(1)).alias("n"), *([cmax.alias("c")] if isinstance(cursor_max, Column) else []))
     c = F.col("c") if isinstance(cursor_max, Column) else cmax
     last = F.floor((F.col("n") - 1) / size)
-    chunks = n.filter("n > 0").withColumn("chunk_index", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    # numbers in two steps: no array has more than CHUNK_BLOCK entries, and blocks are dealt out
+    block = n.filter("n > 0").withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / CHUNK_BLOCK)))).repartition("__block")
+    start = F.col("__block") * CHUNK_BLOCK
+    chunks = block.withColumn("chunk_index", F.explode(F.sequence(start, F.least(start + CHUNK_BLOCK - 1, last))))
     return chunks.select(
         F.lit(view_name).alias("view_name"), F.lit(mode).alias("sync_mode"), "chunk_index",
         F.lit(cursor_min).cast("long").alias("watermark_min"),
@@ -577,41 +586,62 @@ def due_now(state: SyncState, config: dict[str, tuple[int, str]]) -> list[str]:
     return [v for v, (minutes, _) in config.items() if v not in last or last[v] >= minutes]
 
 
+#: Called with "data" or "commit" and the view once that step of a batch is done.
+Step = Callable[[str, str], None]
+
+
+class Stopped(BaseException):
+    """Raised by a step's callback: ends a cycle there and then, as a crash would."""
+
+
+def stop_after(last: str) -> Step:
+    def stop(step: str, view: str) -> None:
+        if step == last:
+            raise Stopped(f"{view}: {step}")
+    return stop
+
+
+def _sync_view(v: DataFrame, name: str, state: SyncState, sink: BatchSink, page_size: int | None, done: Step) -> dict:
+    mode = effective_mode(v, VIEW_CONFIG.get(name, (DEFAULT_INTERVAL_MIN, "FULL"))[1])
+    col = resolve_cursor_column(v) if mode == "INCREMENTAL" else None
+    epoch, cursor, total = state.epoch(name), (state.get(name) if col else 0), 0
+    while True:
+        rows = v
+        if col:
+            rows = cursor_page_tie_safe(v, cursor, page_size) if page_size else v.filter(F.col(col) > cursor)
+        attempt, n, last = sink.write(name, rows, col)
+        done("data", name)
+        if n or not col:
+            state.commit(name, attempt, mode, cursor, last, n, epoch)
+            done("commit", name)
+        elif not total:
+            state.nothing_new(name, mode, cursor)
+        total, cursor = total + n, last if last is not None and last > 0 else cursor
+        # a page with fewer rows than asked for is the last one
+        if not col or not page_size or n < page_size:
+            return {"rows": total, "cursor": cursor, "mode": mode}
+
+
 def run_sync_cycle(t, as_of: str, state: SyncState, sink: BatchSink, views: list[str] | None = None,
-                   page_size: int | None = None) -> tuple[dict[str, dict], dict[str, str]]:
+                   page_size: int | None = None, done: Step = lambda step, view: None) -> tuple[dict[str, dict], dict[str, str]]:
     """One cycle over ``views`` (default: the due ones of ``VIEW_CONFIG``).
 
-    Per view everything after its stored cursor is written, in one batch, or
-    with ``page_size`` in pages that never split a group of equal cursors,
-    until none is left.  A batch is written first and the cursor is read from
-    what was written, so each batch is evaluated once; then history and
-    cursor are stored.  A failing view is recorded and skipped; the others go
-    on.  Returns per-view results (rows, cursor, mode) and per-view errors."""
+    Per view everything after its stored cursor is shipped, in one batch, or with
+    ``page_size`` in pages that never split a group of equal cursors, until none is left; a
+    view without a cursor is published as a new snapshot.  A batch's rows are written
+    first, counted on the way; one row of the state then commits data, history and cursor.
+    After a crash at any point the next cycle ships each row once.  A failing view
+    is recorded and skipped; the others go on.  Returns per-view results (rows, cursor,
+    mode) and per-view errors."""
     from ..plans.views import view as build_view
     results, errors = {}, {}
     for name in due_now(state, VIEW_CONFIG) if views is None else views:
         try:
-            v = build_view(t, as_of, name)
-            mode = effective_mode(v, VIEW_CONFIG.get(name, (DEFAULT_INTERVAL_MIN, "FULL"))[1])
-            col = resolve_cursor_column(v) if mode == "INCREMENTAL" else None
-            cursor, total = (state.get(name) if col else 0), 0
-            while True:
-                batch_id = uuid.uuid4().hex
-                if col is None:
-                    rows = v
-                else:
-                    rows = cursor_page_tie_safe(v, cursor, page_size) if page_size else v.filter(F.col(col) > cursor)
-                n, last = sink.write(name, batch_id, rows, col)
-                state.record(name, batch_id, mode, cursor, last, n)
-                total += n
-                if last is not None and last > 0:
-                    cursor = last
-                    state.set(name, cursor)
-                if col is None or not page_size or n == 0:
-                    break
-            results[name] = {"rows": total, "cursor": cursor, "mode": mode}
+            results[name] = _sync_view(build_view(t, as_of, name), name, state, sink, page_size, done)
         except Exception as e:  # noqa: BLE001 - isolation is the point
             errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
+            state.failed(name, errors[name])
+    state.compact(MANY_FILES)
     return results, errors
 
 
@@ -626,12 +656,19 @@ CYCLE_CURSORS = ("VW_STOCKS", "VW_TRESORERIE")
     f"{'count(DISTINCT watermark_sync)' if v in CYCLE_CURSORS else 'NULL::BIGINT'} AS distinct_cursors "
     f"FROM ({{KEY:{k}}})" for v, k in CYCLE_VIEWS.items()))
 def sync_cycle_state(t, as_of: str) -> DataFrame:
-    """Rows shipped and final cursor per view after a cycle, read from the stored batches and state."""
+    """Rows shipped and final cursor per view, read from the stored batches and state after
+    a cycle that ends between data and commit, one that ends after a commit, a whole one, and one more
+    (nothing new; a view without a cursor is published anew and read once)."""
     root = scratch_path(t.spark, f"cycle-{uuid.uuid4().hex}")
-    state, sink = SyncState(t.spark, f"{root}/state"), BatchSink(t.spark, f"{root}/sink")
-    _, errors = run_sync_cycle(t, as_of, state, sink, list(CYCLE_VIEWS))
-    if errors:
-        raise RuntimeError(f"views failed: {errors}")
+    state = SyncState(t.spark, f"{root}/state")
+    sink = BatchSink(t.spark, f"{root}/sink", state)
+    for last_step in ("data", "commit"):
+        with contextlib.suppress(Stopped):
+            run_sync_cycle(t, as_of, state, sink, ["VW_STOCKS"], done=stop_after(last_step))
+    for views in (list(CYCLE_VIEWS), ["VW_STOCKS", "VW_KPI_SYNTESE"]):
+        _, errors = run_sync_cycle(t, as_of, state, sink, views)
+        if errors:
+            raise RuntimeError(f"views failed: {errors}")
     out = None
     for name in CYCLE_VIEWS:
         rows = sink.read(name)

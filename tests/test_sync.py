@@ -96,7 +96,8 @@ def _tables(spark, n):
 
 
 def test_sync_cycle_isolates_failures(spark, scratch):
-    state, sink = SyncState(spark, f"{scratch}/state"), BatchSink(spark, f"{scratch}/sink")
+    state = SyncState(spark, f"{scratch}/state")
+    sink = BatchSink(spark, f"{scratch}/sink", state)
     state.set("VW_TRESORERIE", 3)
     # the stock views need article tables that MiniTables does not have: they fail, the others go on
     res, err = run_sync_cycle(_tables(spark, 7), "2001-07-15", state, sink, ["VW_TRESORERIE", "VW_STOCKS", "VW_GRAND_LIVRE_GENERAL"])
@@ -115,12 +116,121 @@ def test_sync_cycle_loses_no_tied_rows(spark, scratch, monkeypatch):
     frame = spark.range(40).select(F.col("id"), (F.col("id") - F.col("id") % 3 + 1).alias("watermark_sync"))
     monkeypatch.setattr(views, "view", lambda t, as_of, name: frame)
     for size in (None, 7):
-        state, sink = SyncState(spark, f"{scratch}/state{size}"), BatchSink(spark, f"{scratch}/sink{size}")
+        state = SyncState(spark, f"{scratch}/state{size}")
+        sink = BatchSink(spark, f"{scratch}/sink{size}", state)
         res, err = run_sync_cycle(None, "", state, sink, ["VW_STOCKS"], page_size=size)
         assert not err and res["VW_STOCKS"] == {"rows": 40, "cursor": 40, "mode": "INCREMENTAL"}
         assert sorted(r["id"] for r in sink.read("VW_STOCKS").select("id").collect()) == list(range(40))
 
 
+def _cycle_frame(spark, monkeypatch, cursor=True):
+    from ledgerflow.plans import views
+    frame = spark.range(40).select(F.col("id"), *([(F.col("id") - F.col("id") % 3 + 1).alias("watermark_sync")] if cursor else []))
+    monkeypatch.setattr(views, "view", lambda t, as_of, name: frame)
+
+
+@pytest.mark.parametrize("size", [None, 7])
+@pytest.mark.parametrize("step", ["data", "commit"])
+def test_a_cycle_that_crashes_ships_each_row_once(spark, scratch, monkeypatch, step, size):
+    from ledgerflow.streaming.sync import Stopped, stop_after
+    _cycle_frame(spark, monkeypatch)
+    for _ in range(2):  # every start reads the state anew, as a new process does
+        state = SyncState(spark, f"{scratch}/state")
+        with pytest.raises(Stopped):
+            run_sync_cycle(None, "", state, BatchSink(spark, f"{scratch}/sink", state), ["VW_STOCKS"], page_size=size,
+                           done=stop_after(step))
+        if step == "data":
+            assert state.history().count() == 0 and BatchSink(spark, f"{scratch}/sink", state).read("VW_STOCKS").count() == 0
+        elif size is None:
+            break
+    state = SyncState(spark, f"{scratch}/state")
+    sink = BatchSink(spark, f"{scratch}/sink", state)
+    res, err = run_sync_cycle(None, "", state, sink, ["VW_STOCKS"], page_size=size)
+    assert not err and state.get("VW_STOCKS") == 40 == res["VW_STOCKS"]["cursor"]
+    assert sorted(r["id"] for r in sink.read("VW_STOCKS").collect()) == list(range(40))
+    batches = state.history().collect()
+    assert sum(r["row_count"] for r in batches) == 40 and len({r["batch_id"] for r in batches}) == len(batches)
+    # ranges join without a gap, and none is empty
+    ends = sorted((r["watermark_min"], r["watermark_max"]) for r in batches)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:])) and all(r["row_count"] for r in batches)
+
+
+def test_a_batch_committed_twice_counts_once(spark, scratch):
+    state = SyncState(spark, f"{scratch}/s")
+    sink = BatchSink(spark, f"{scratch}/sink", state)
+    for _ in range(2):
+        attempt, n, last = sink.write("V", spark.range(1, 6).withColumnRenamed("id", "cbmarq"), "cbmarq")
+        assert (n, last) == (5, 5)
+        assert state.commit("V", attempt, "INCREMENTAL", 0, last, n) == "V:0:incremental:0"
+    assert sink.read("V").count() == 5 and state.history().count() == 1 and state.snapshot().first()["total_rows"] == 5
+
+
+def test_full_views_are_published_anew(spark, scratch, monkeypatch):
+    from ledgerflow.streaming.sync import Stopped, stop_after
+    _cycle_frame(spark, monkeypatch, cursor=False)
+    state = SyncState(spark, f"{scratch}/state")
+    sink = BatchSink(spark, f"{scratch}/sink", state)
+    for n in (1, 2, 3):
+        before = sink.read("VW_KPI_SYNTESE") if n > 1 else None
+        if n == 2:  # data that was never committed
+            with pytest.raises(Stopped):
+                run_sync_cycle(None, "", state, sink, ["VW_KPI_SYNTESE"], done=stop_after("data"))
+        run_sync_cycle(None, "", state, sink, ["VW_KPI_SYNTESE"])
+        assert sorted(r["id"] for r in sink.read("VW_KPI_SYNTESE").collect()) == list(range(40))
+        assert state.history().count() == n
+        if before is not None:  # a reader that began earlier is not disturbed
+            assert before.count() == 40
+
+
+def test_a_reset_ships_everything_again_and_is_read_once(spark, scratch, monkeypatch):
+    _cycle_frame(spark, monkeypatch)
+    state = SyncState(spark, f"{scratch}/state")
+    sink = BatchSink(spark, f"{scratch}/sink", state)
+    run_sync_cycle(None, "", state, sink, ["VW_STOCKS"])
+    state.reset()
+    assert state.get("VW_STOCKS") == 0 and state.epoch("VW_STOCKS") == 1
+    res, _ = run_sync_cycle(None, "", state, sink, ["VW_STOCKS"])
+    assert res["VW_STOCKS"]["rows"] == 40 and sink.read("VW_STOCKS").count() == 40
+    assert sorted(r["batch_id"] for r in state.history().collect()) == ["VW_STOCKS:0:incremental:0", "VW_STOCKS:1:incremental:0"]
+    res, _ = run_sync_cycle(None, "", state, sink, ["VW_STOCKS"])
+    assert res["VW_STOCKS"] == {"rows": 0, "cursor": 40, "mode": "INCREMENTAL"}
+    assert state.history().count() == 2 and state.snapshot().first()["n_batches"] == 2
+
+
+def test_failures_are_kept_and_stay_due(spark, scratch, monkeypatch):
+    from ledgerflow.plans import views
+
+    def broken(t, as_of, name):
+        raise ValueError("no such table")
+    monkeypatch.setattr(views, "view", broken)
+    state = SyncState(spark, f"{scratch}/state")
+    _, err = run_sync_cycle(None, "", state, BatchSink(spark, f"{scratch}/sink", state), ["VW_STOCKS"])
+    assert set(err) == {"VW_STOCKS"} and state.errors().first()["error"] == "ValueError: no such table"
+    assert due_now(state, {"VW_STOCKS": (60, "INCREMENTAL")}) == ["VW_STOCKS"]
+
+
+def test_compaction_keeps_results_and_readers(spark, scratch):
+    state = SyncState(spark, f"{scratch}/s")
+    # as many files as a thousand cycles leave
+    rows = spark.range(1000).select(F.lit("batch").alias("kind"), F.concat(F.lit("V"), F.col("id") % 7).alias("view_name"),
+                                    F.col("id").alias("cursor"), F.concat(F.lit("b"), "id").alias("batch_id"), F.lit("INCREMENTAL").alias("sync_mode"),
+                                    F.lit(3).alias("row_count"), F.localtimestamp().alias("received_at"))
+    for _ in range(2):
+        state.log.append(rows.repartition(500))
+    key = lambda df: sorted(map(str, df.collect()))
+    reader, history, cursors = state.history(), key(state.history()), key(state.cursors())
+    assert state.log.files() > 500
+    state.compact(more_than=10)
+    assert state.log.files() <= 3 and state.stored_parameters.files() <= 1
+    assert key(state.history()) == history == key(reader) and key(state.cursors()) == cursors
+    state.set("V1", 5000)
+    again = SyncState(spark, f"{scratch}/s")
+    assert again.get("V1") == 5000 and again.history().count() == 1000
+    # a compaction that crashed before its last step is not seen
+    again.log.read().limit(3).write.parquet(f"{scratch}/s/log/data/compact-crashed")
+    assert SyncState(spark, f"{scratch}/s").history().count() == 1000
+
+
 def test_stored_state(spark, scratch):
     state = SyncState(spark, f"{scratch}/s")
     assert state.get("V") == 0 and state.cursors().count() == 0
