@@ -34,31 +34,39 @@ def scalars(df: DataFrame, **exprs: Column) -> dict[str, Column]:
     return {k: s.getField(k) for k in exprs}
 
 
+#: Characters of a tie-breaker that name its outer and inner cell.
+CELL_PREFIXES = (6, 12)
+
+
 def value_rank(df: DataFrame, value: str, tie: str, name: str) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY value DESC, tie ASC NULLS LAST), without a job
     while the plan is built and without a window over the whole frame.
 
     Rows fall into steps of the value that keep its order (64 per power of
-    two, so their number is bounded by the number format), and inside a step
-    into cells of one value and one prefix of the tie-breaker.  Steps and cells
-    are counted; only rows of one cell are ordered, so a value that very many
-    rows share is not one task's.
+    two, so their number is bounded by the number format), inside a step into
+    cells of one value and the beginning of the tie-breaker, and those into cells of a
+    longer beginning.  Steps and cells are counted; only rows of one cell are ordered,
+    so a value that very many rows share is not one task's, nor are
+    tie-breakers that begin alike.
     """
     v = F.coalesce(F.col(value).cast("double"), F.lit(float("-inf")))
     step = F.floor(F.signum(v) * F.least(F.log2(F.abs(v) + 1), F.lit(1100.0)) * 64).cast("int")
     last = F.lit("\U0010ffff")
-    celled = (df.withColumn("__step", step).withColumn("__value", v)
-              .withColumn("__cell", F.coalesce(F.substring(tie, 1, 5), last)))
-    cells = celled.groupBy("__step", "__value", "__cell").agg(F.count(F.lit(1)).alias("__n"))
+    short, long = (F.coalesce(F.substring(tie, 1, n), last) for n in CELL_PREFIXES)
+    celled = df.withColumns({"__step": step, "__value": v, "__cell": short, "__inner": long})
+    keys = ["__step", "__value", "__cell", "__inner"]
+    inner = celled.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    cells = inner.groupBy(*keys[:3]).agg(F.sum("__n").alias("__n"))
     steps = cells.groupBy("__step").agg(F.sum("__n").alias("__n"))
     before = lambda w: F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     steps = steps.select("__step", before(Window.orderBy(F.col("__step").desc())).alias("__above"))
-    inner = Window.partitionBy("__step").orderBy(F.col("__value").desc(), "__cell")
-    cells = cells.select("__step", "__value", "__cell", before(inner).alias("__left")).join(steps, "__step")
-    inside = Window.partitionBy("__step", "__value", "__cell").orderBy(F.col(value).desc(), F.col(tie).asc_nulls_last())
-    return (celled.join(cells, ["__step", "__value", "__cell"])
-            .withColumn(name, (F.col("__above") + F.col("__left") + F.row_number().over(inside)).cast("long"))
-            .drop("__step", "__value", "__cell", "__above", "__left"))
+    beside = Window.partitionBy("__step").orderBy(F.col("__value").desc(), "__cell")
+    cells = cells.select(*keys[:3], before(beside).alias("__left")).join(steps, "__step")
+    inner = inner.select(*keys, before(Window.partitionBy(*keys[:3]).orderBy("__inner")).alias("__first")).join(cells, keys[:3])
+    inside = Window.partitionBy(*keys).orderBy(F.col(value).desc(), F.col(tie).asc_nulls_last())
+    return (celled.join(inner, keys)
+            .withColumn(name, (F.col("__above") + F.col("__left") + F.col("__first") + F.row_number().over(inside)).cast("long"))
+            .drop(*keys, "__above", "__left", "__first"))
 
 
 def without_null_skew(df: DataFrame, other: DataFrame, key: str, spread: str) -> DataFrame:
