@@ -449,7 +449,7 @@ def batch_history_page(t, as_of: str, view: str = "click", page: int = 2, limit:
             .select("batch_id", "agent_id", "view_name", "row_count", "received_at", total.alias("total")))
 
 
-@register("job_stats", """
+JOB_STATS_SQL = """
 WITH j AS (SELECT user_id AS agent_id, event_id, ts, event_type = 'error' AS failed FROM events),
 ok AS (SELECT agent_id, max(ts) AS last_ok_ts FROM j WHERE NOT failed GROUP BY agent_id),
 okk AS (SELECT j.agent_id, ok.last_ok_ts, max(j.event_id) AS last_ok_id
@@ -462,7 +462,10 @@ SELECT j.agent_id, COUNT(*) AS runs, CAST(SUM(CASE WHEN failed THEN 1 ELSE 0 END
     max(CASE WHEN failed THEN j.ts END) AS last_error_at, max(CASE WHEN NOT failed THEN j.ts END) AS last_success_at
 FROM j LEFT JOIN okk ON j.agent_id = okk.agent_id
 GROUP BY j.agent_id
-""")
+"""
+
+
+@register("job_stats", JOB_STATS_SQL)
 def job_stats(t, as_of: str) -> DataFrame:
     """Runs, failures, consecutive failures since the last success,
     last error / success time per agent (errors = 'error' events).  Two
@@ -601,7 +604,9 @@ def stop_after(last: str) -> Step:
     return stop
 
 
-def _sync_view(v: DataFrame, name: str, state: SyncState, sink: BatchSink, page_size: int | None, done: Step) -> dict:
+def sync_view(v: DataFrame, name: str, state: SyncState, sink: BatchSink, page_size: int | None = None,
+              done: Step = lambda step, view: None) -> dict:
+    """Ship what a view has after its cursor (see ``run_sync_cycle``)."""
     mode = effective_mode(v, VIEW_CONFIG.get(name, (DEFAULT_INTERVAL_MIN, "FULL"))[1])
     col = resolve_cursor_column(v) if mode == "INCREMENTAL" else None
     epoch, cursor, total = state.epoch(name), (state.get(name) if col else 0), 0
@@ -637,7 +642,7 @@ def run_sync_cycle(t, as_of: str, state: SyncState, sink: BatchSink, views: list
     results, errors = {}, {}
     for name in due_now(state, VIEW_CONFIG) if views is None else views:
         try:
-            results[name] = _sync_view(build_view(t, as_of, name), name, state, sink, page_size, done)
+            results[name] = sync_view(build_view(t, as_of, name), name, state, sink, page_size, done)
         except Exception as e:  # noqa: BLE001 - isolation is the point
             errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
             state.failed(name, errors[name])
