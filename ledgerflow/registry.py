@@ -52,7 +52,7 @@ def _load_all() -> None:
     # importing the plan modules fills the registry
     from .plans import (analytic, commerce, documented, extensions, governance, ledger, meta,  # noqa: F401
                         parties, views)
-    from .streaming import counters, sessions, stream, sync, view_queries  # noqa: F401
+    from .streaming import counters, ingest, logs, sessions, stream, sync, view_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -39,8 +39,7 @@ def by_leg(leg: Column, mapping: dict, default=None) -> Column:
 
 # Fixed values of the test adapter (FIXTURES.md 3.1 / 3.2).
 JOURNALS = [
-    ("JV", "Livre des ventes", 1), ("JB", "Livre de banque", 2), ("JA", "Livre des achats", 0), ("JD", "Ecritures diverses", 3),
-    ("JC", "Livre de caisse", 2), ("JN", "Report a nouveau", 4),
+    ("JV", "Registre ventes", 1), ("JB", "Registre comptes bancaires", 2), ("JA", "Registre fournisseurs", 0), ("JD", "Registre divers", 3),
 ]
 # account numbers the leg rules use; the label is made from the number
 ACCOUNT_NUMBERS = ["401000", "411000", "411100", "445710", "451000", "512000", "512100", "530000", "600000", "601000", "611000",

@@ -169,3 +169,62 @@ def test_a_query_that_fails_ships_each_row_once(spark, scratch, monkeypatch, ste
     assert job.run_available() == {"VW_STOCKS": None}
     assert sorted(r["id"] for r in sink.read("VW_STOCKS").collect()) == list(range(42))
     assert state.history().agg(F.sum("row_count")).first()[0] == 42
+
+
+def test_rotated_logs_are_read_once(spark, scratch):
+    import gzip
+    import os
+
+    from ledgerflow.streaming.logs import LogStream
+    folder = f"{scratch}/logs"
+    os.makedirs(folder)
+    day = lambda n: "".join(f"2024-01-{n:02d} 10:00:{i:02d} [{'ERROR' if i % 3 else 'INFO'}] job {i} of {n}\n" for i in range(6))
+    with gzip.open(f"{folder}/agent-2024-01-01.log.gz", "wt") as f:
+        f.write(day(1) + "\n  at a line of a stack\n")
+    with open(f"{folder}/agent-2024-01-02.log", "w") as f:
+        f.write(day(2))
+    stream = LogStream(spark, folder, f"{scratch}/stream")
+    stream.run()
+    stream.run()  # nothing arrived
+    assert stream.lines().count() == 13
+    with gzip.open(f"{folder}/agent-2024-02-10.log.gz", "wt") as f:
+        f.write(day(3))
+    again = LogStream(spark, folder, f"{scratch}/stream")
+    again.run()
+    got = sorted((r["day"], r["level"], r["count"]) for r in again.lines().groupBy("day", "level").count().collect())
+    assert got == [("2024-01-01", "error", 4), ("2024-01-01", "info", 3), ("2024-01-02", "error", 4), ("2024-01-02", "info", 2),
+                   ("2024-02-10", "error", 4), ("2024-02-10", "info", 2)]
+    assert again.lines().where("timestamp = ''").first()["message"] == "  at a line of a stack"
+    # retention: whole days go
+    assert {r["day"] for r in again.lines("2024-02-11").select("day").distinct().collect()} == {"2024-02-10"}
+    assert {r["day"] for r in again.lines("2024-01-31").select("day").distinct().collect()} == {"2024-01-02", "2024-02-10"}
+
+
+def _numbered(spark, n, size):
+    from ledgerflow.streaming.sync import chunked_rows
+    return chunked_rows(spark.range(n).select("id", F.concat(F.lit("é"), "id").alias("label")), [F.col("id")], size=size)
+
+
+def test_a_call_arrives_whole(spark, scratch):
+    from ledgerflow.streaming.ingest import IngestFolder
+    folder = IngestFolder(spark, f"{scratch}/in")
+    call = folder.push("V", _numbered(spark, 23, 5))
+    assert sorted((r["chunk_index"], r["row_count"], r["call"], r["view_name"]) for r in folder.manifest().collect()) == \
+        [(i, 5 if i < 4 else 3, call, "V") for i in range(5)]
+    got = folder.rows("id long, label string").orderBy("id").collect()
+    assert [(r["id"], r["label"], r["chunk_index"], r["chunk_pos"]) for r in got] == [(i, f"é{i}", i // 5, i % 5) for i in range(23)]
+    folder.push("V", _numbered(spark, 0, 5))
+    assert folder.manifest().count() == 5
+
+
+def test_a_call_that_fails_leaves_nothing(spark, scratch):
+    from ledgerflow.streaming.ingest import IngestFolder
+    folder = IngestFolder(spark, f"{scratch}/in")
+    folder.push("V", _numbered(spark, 10, 5), "first")
+    rows = _numbered(spark, 40, 5).repartition(8, "chunk_index")
+    bad = rows.withColumn("id", F.when(F.col("id") == 33, F.raise_error(F.lit("task lost")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="task lost"):
+        folder.push("V", bad, "second")
+    assert {r["call"] for r in folder.manifest().collect()} == {"first"} and folder.rows("id long").count() == 10
+    folder.push("V", rows, "second")
+    assert folder.rows("id long").where("call = 'second'").count() == 40 and folder.manifest().where("call = 'second'").count() == 8
