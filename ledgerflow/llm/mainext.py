@@ -16,9 +16,12 @@ which is on that path; nothing else depends on these elements.
 
 Furniture (scripts, styles, forms, navigation, headers and footers of the page,
 asides, and blocks whose class, id or role names an advert, a menu, a notice, a
-side bar or comments) is taken out before densities are computed.  Names don't
-take out main elements and articles, which carry the page's state in theirs,
-but for articles inside others and those named a comment.
+side bar or comments) is taken out before densities are computed.  Names are hints:
+words of a state (``with-sidebar``, ``nav-open``) don't count, and a form, a page header
+or a block that is taken for furniture by its name stays if an article or main element lies in
+it.  It also stays if it holds most of the page's text outside links and no such
+element lies elsewhere, but for comments.  Names don't take out main elements and articles, which
+carry the page's state in theirs, but for articles inside others and those named a comment.
 
 Null and empty pages give an empty text; pages without markup are one block.
 Of equal sums the first node in page order is taken.  Repeated rows are
@@ -40,8 +43,8 @@ MARKUP = re.compile(
     re.S)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-DROPPED = frozenset("head script style noscript template title iframe object embed svg canvas math form button select "
-                    "textarea input option nav aside menu dialog audio video figure".split()) - {"figure"}
+DROPPED = frozenset("head script style noscript template title iframe object embed svg canvas math button select "
+                    "textarea input option nav aside menu dialog audio video".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table "
                   "tbody td tfoot th thead tr ul br".split())
@@ -60,39 +63,83 @@ FURNITURE = re.compile(
 PAGE_HEAD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|top-bar|navbar-brand)(?:$|[\s_-])", re.I)
 #: Names of an article that is a reader's comment ("comments-open" is a state of the page's own).
 COMMENT = re.compile(r"(?:^|\s)(?:comment|reply)(?:[_-](?:\d+|body|item|entry|content))?(?:$|\s)", re.I)
+#: Words of a class that tell the state of a page or block.
+STATE = re.compile(r"(?<!\S)(?:(?:has|with|without|no|is|js|show|hide)[_-]\S+|\S+[_-](?:open|opened|closed|fixed|sticky|visible|active|"
+                   r"enabled|disabled|collapsed|expanded|on|off))(?!\S)", re.I)
+#: Names of reader comments.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|respond|replies)(?:$|[\s_-])", re.I)
+#: How sure it is that an element is furniture: not at all; unless it holds an article, or
+#: most of the page; unless it holds an article; quite.
+KEPT, HINT, STRONG_HINT, SURE = range(4)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WHITE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "furniture", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "hint", "furniture", "size", "articles", "chars", "tags", "link_chars", "link_tags", "density",
+                 "total")
 
-    def __init__(self, tag: str, parent: Node | None, furniture: bool = False):
-        self.tag, self.parent, self.children, self.furniture = tag, parent, [], furniture
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+    def __init__(self, tag: str, parent: Node | None, hint: int = KEPT):
+        self.tag, self.parent, self.children, self.hint, self.furniture = tag, parent, [], hint, hint == SURE
+        self.size = self.articles = self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _is_furniture(tag: str, attributes: str, node: Node) -> bool:
+def _hint(tag: str, attributes: str, node: Node) -> int:
     if tag in DROPPED:
-        return True
-    if tag == "footer" or tag == "header" and not _in_article(node):
-        return True  # an article's header carries its headline
+        return SURE
+    if tag == "footer":
+        return SURE
+    found = KEPT
+    if tag == "header" and not _in_article(node):
+        found = STRONG_HINT  # an article's header carries its headline
+    elif tag == "form":
+        found = HINT
     if attributes and tag not in ("html", "body", "main"):
         own = tag == "article" and not _in_article(node, ("article",))
         for name, *values in _NAMED.findall(attributes):
             value = next((v for v in values if v), "")
             name = name.lower()
             if not own and (name == "hidden" or name == "aria-hidden" and value.lower() == "true"):
-                return True
+                return SURE
+            if name not in ("class", "id", "role"):
+                continue
             if own:
-                if name in ("class", "id", "role") and COMMENT.search(value):
-                    return True
-            elif name in ("class", "id", "role") and (
-                    FURNITURE.search(value) or PAGE_HEAD.search(value) and not _in_article(node)
-                    and not re.search("article|post|entry|content|story", value, re.I)):
-                return True
-    return False
+                if COMMENT.search(value):
+                    return SURE
+                continue
+            if name == "class":
+                value = STATE.sub("", value)
+            if COMMENTS.search(value):
+                found = max(found, STRONG_HINT)
+            elif FURNITURE.search(value) or PAGE_HEAD.search(value) and not _in_article(node) and not re.search(
+                    "article|post|entry|content|story", value, re.I):
+                found = max(found, HINT)
+    return found
+
+
+def settle(root: Node) -> None:
+    """Decide which of the elements that look like furniture are."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [c for c in node.children if isinstance(c, Node) and not c.furniture]
+    for node in reversed(order):  # children first
+        for c in node.children:
+            if isinstance(c, str):
+                node.size += len(c)
+            elif not c.furniture:
+                node.size += c.size
+                node.articles += c.articles
+        if node.tag == "a":
+            node.size = 0
+        elif node.tag in ("article", "main") and node.hint == KEPT:
+            node.articles += 1
+    for node in order:
+        if node.hint:
+            most = node.hint == HINT and 2 * node.size > root.size and not root.articles
+            node.furniture = not (node.articles or most)
 
 
 def _in_article(node: Node | None, tags: tuple[str, ...] = ("article", "main")) -> bool:
@@ -107,7 +154,7 @@ def parse(page: str) -> Node:
     root = Node("html", None)
     body = at = Node("body", root)
     root.children.append(body)
-    end, size = 0, len(page)
+    end, size, hints = 0, len(page), False
 
     def text(s: str) -> None:
         if s:
@@ -150,7 +197,8 @@ def parse(page: str) -> Node:
                 at = target.parent
         if at.tag == "head" and tag not in DROPPED and tag not in VOID:
             at = body
-        node = Node(tag, at, _is_furniture(tag, attributes, at))
+        node = Node(tag, at, _hint(tag, attributes, at))
+        hints |= 0 < node.hint < SURE
         at.children.append(node)
         if tag in VOID:
             continue
@@ -164,6 +212,8 @@ def parse(page: str) -> Node:
         if not attributes.endswith("/") or tag in BLOCK:
             at = node
     text(page[end:])
+    if hints:
+        settle(root)
     return root
 
 

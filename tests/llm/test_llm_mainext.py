@@ -64,6 +64,88 @@ def test_comment_articles_are_furniture():
     assert main_text(f"<article>{p('a')}<article class='part'>{p('b')}</article></article>") == "a" * 300 + "\n" + "b" * 300
 
 
+BODY = f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p>"
+WHOLE = "\n".join(["Head", LONG.strip(), LONG.strip()])
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='content with-sidebar'>{BODY}</div></body>",
+    f"<body><div id=page class='has-sidebar'>{BODY}</div></body>",
+    f"<body><div class='wrapper header-fixed'>{BODY}</div></body>",
+    f"<body><div class='nav-open'><main>{BODY}</main></div></body>",
+    f"<body><form action=/x><input name=state>{BODY}</form></body>",
+    # hints that are wrong: the whole page, or an article, lies inside
+    f"<body><div class='sidebar-layout'><div class=widget>{BODY}</div></div></body>",
+    f"<body><div class='menu page'><article>{BODY}</article></div><div class=menu>some words of a menu</div></body>",
+    f"<body><header class=banner><main>{BODY}</main></header></body>",
+    f"<body><div class='search-page'><form><div>{BODY}</div><input></form></div><div class='ad'>Buy this now</div></body>",
+])
+def test_names_do_not_override_the_selection(page):
+    assert main_text(page) == WHOLE
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='ad'>{LONG}</div><article>{BODY}</article></body>",
+    f"<body><div class='sidebar-left'><p>{LONG}</p></div><div>{BODY}</div></body>",
+    f"<body><div>{BODY}</div><form><p>Write to us, we read all of it.</p><input></form></body>",
+    # more comments than text
+    f"<body><div>{BODY}</div><div id=comments>{'<p>' + LONG + '</p>'}{('<p>' + LONG) * 4}</div></body>",
+    f"<body><main>{BODY}</main><div class='cookie-banner'>{LONG * 6}</div></body>",
+])
+def test_furniture_by_name_goes(page):
+    assert main_text(page) == WHOLE
+
+
+def _densities(node):
+    """Composite densities worked out anew, from the tree alone."""
+    import math
+
+    def count(n, inside):
+        chars = tags = 0
+        for c in n.children:
+            if isinstance(c, str):
+                chars += len(re.sub(r"\s", "", c)) if inside is None or inside else 0
+            elif not c.furniture:
+                link = None if inside is None else inside or c.tag == "a"
+                a, b = count(c, link)
+                chars, tags = chars + a, tags + b + (1 if inside is None or inside or c.tag == "a" else 0)
+        return chars, tags
+
+    body_c, _ = count(node, None)
+    body_lc, _ = count(node, False)
+
+    def density(n):
+        (c, t), (lc, lt) = count(n, None), count(n, n.tag == "a")
+        if not c:
+            return 0.0
+        base = math.log(c / max(c - lc, 1) * lc + body_lc / max(body_c, 1) * c + math.e)
+        value = math.log(max(c / max(lc, 1) * (max(t, 1) / max(lt, 1)), 1.0))
+        return c / max(t, 1) * (value / math.log(base) if base > 1 else value)
+    return density
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_densities_against_the_formula(seed):
+    import random
+    rng = random.Random(seed)
+
+    def part(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return rng.choice([LONG[:rng.randint(5, 200)], "<a href=x>some link</a>", "<br>", f"<p>{LONG[:rng.randint(5, 300)]}</p>"])
+        return "<div>" + "".join(part(depth - 1) for _ in range(rng.randint(1, 5))) + "</div>"
+
+    root = parse("<body>" + "".join(part(4) for _ in range(4)) + "</body>")
+    best, density = measure(root), _densities(root)
+    nodes, stack = [], [root]
+    while stack:
+        n = stack.pop()
+        nodes.append(n)
+        stack += [c for c in n.children if not isinstance(c, str)]
+    assert all(abs(n.density - density(n)) <= 1e-9 * max(1, n.density) for n in nodes)
+    total = lambda n: sum(density(c) if not isinstance(c, str) else len(re.sub(r"\s", "", c)) for c in n.children)
+    assert abs(total(best) - max(map(total, nodes))) < 1e-6
+
+
 def test_deep_and_large_pages():
     assert main_text("<div>" * 5000 + "x" + "</div>" * 5000) == "x"
     assert main_text("<article>" + "<p>word</p>" * 20000 + "</article>").count("\n") == 19999
