@@ -23,7 +23,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -227,14 +227,21 @@ def _predict(m: Model, batch: pa.RecordBatch, least_gap: float):
     return names, np.where(lettered, score, 0.0), unsure, np.where(lettered, wrong, 0).astype(np.int32)
 
 
+def _shared(docs: DataFrame, model: Model):
+    """The model's parts as a broadcast (buckets x bits numbers); a ``Model`` itself would be looked up in
+    this module, which executors don't have."""
+    return docs.sparkSession.sparkContext.broadcast(tuple(getattr(model, f.name) for f in fields(model)))
+
+
 def accepted(docs: DataFrame, model: Model, least_gap: float = 0.7, least_score: float = 0.6) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, whose language is known: not ``und``, and
     not ambiguous with a score below ``least_score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _shared(docs, model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
         for batch in batches:
-            names, score, unsure, _ = _predict(shared.value, batch, least_gap)
+            names, score, unsure, _ = _predict(model, batch, least_gap)
             known = np.array([n != UND for n in names], bool) & ~(unsure & (score < least_score))
             yield batch.filter(pa.array(known, pa.bool_()))
 
@@ -247,13 +254,14 @@ def identify(docs: DataFrame, model: Model, least_gap: float = 0.7) -> DataFrame
     ``ambiguous``: the runner-up's loss is less than ``least_gap`` away, or
     more bits are wrong than the code corrects.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: buckets x bits
+    shared = _shared(docs, model)
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()),
                         ("ambiguous", pa.bool_()), ("bit_errors", pa.int32())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
         for batch in batches:
-            names, score, unsure, wrong = _predict(shared.value, batch, least_gap)
+            names, score, unsure, wrong = _predict(model, batch, least_gap)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(names, pa.string()), pa.array(score, pa.float64()),
                  pa.array(unsure, pa.bool_()), pa.array(wrong, pa.int32())], schema=schema)
