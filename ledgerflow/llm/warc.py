@@ -196,8 +196,10 @@ def with_revisits(records: DataFrame) -> DataFrame:
     responses = records.where("record_type = 'response'")
     key = responses.groupBy("record_id").agg(F.max("page_id").alias("refers_to"), F.max("payload_bytes").alias("bytes"),
                                              F.max("payload_digest").alias("digest"))
+    # joined on a key that is no exchange of the aggregate's: the revisits of one response can be split
+    key = key.withColumn("record_id", F.concat(F.lit("="), "record_id"))
     revisits = (records.where("record_type = 'revisit'").alias("v")
-                .join(key.alias("r"), F.col("v.refers_to_record") == F.col("r.record_id"), "left")
+                .join(key.alias("r"), F.concat(F.lit("="), F.col("v.refers_to_record")) == F.col("r.record_id"), "left")
                 .select("v.page_id", "v.url", F.col("r.bytes").alias("payload_bytes"),
                         F.coalesce("r.digest", "v.payload_digest").alias("payload_digest"), "v.record_type", "r.refers_to"))
     plain = responses.select("page_id", "url", "payload_bytes", "payload_digest", "record_type",
