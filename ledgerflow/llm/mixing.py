@@ -143,8 +143,10 @@ def leaf_cuts(rows: DataFrame, budgets: DataFrame, seed: int) -> DataFrame:
             F.min(F.struct("range", (F.col("upto") - F.col("n")).alias("start"))).alias("last")), "mix-last")
         part = (_with_leaf(part, last, "mix-range").where(F.col("range") == F.col("last.range"))
                 .withColumn("before", F.col("last.start")).drop("range", "last"))
-    # what is left of a leaf is one 2^24th of its keys
-    upto = F.col("before") + F.sum("__n").over(Window.partitionBy(*names).orderBy("key", "doc_id", "__n"))
+    # what is left of a leaf is one 2^24th of its keys; rows that the order doesn't tell apart (null
+    # identifiers of one length) are one
+    part = part.groupBy(*names, "rest", "before", "key", "doc_id", "__n").agg(F.sum("__n").alias("n"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*names).orderBy("key", "doc_id", "__n"))
     end = part.withColumn("upto", upto).where("upto <= rest").groupBy(*names).agg(F.max(F.struct("key", "doc_id", "__n")).alias("end"))
     edge = last.select(*names, F.shiftleft(F.col("last.range"), _KEY_BITS - 24).alias("edge"))
     return wanted.select(*names, "whole").join(edge, names, "left").join(end, names, "left")

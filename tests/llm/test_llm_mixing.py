@@ -87,6 +87,15 @@ def test_against_brute_force(spark, monkeypatch, share, epochs):
     assert sum(n * c for _, n, c in got) <= budget and max(c for *_, c in got) <= epochs
 
 
+def test_null_identifiers_of_a_leaf(spark):
+    """They share one key of the epoch: the order is by length, equal lengths go together."""
+    rows = [(None if i % 4 else i, prose(i, 1 + i % 6), "en", "src0", 0) for i in range(500)]
+    for share in (0.35, 0.7):
+        mixed = mix_sources(table(spark, rows), {}, source_domain(F.col("source")), share, 1, seed=2)
+        got = sorted(((r["r"]["doc_id"], r["n_tokens"], r["copies"]) for r in mixed.collect()), key=str)
+        assert got == _mix(rows, {}, share, 1, 2)[0]
+
+
 def test_shortage_goes_to_siblings_first(spark):
     leaves = spark.createDataFrame([("a", "x", "s", 10), ("a", "y", "s", 1000), ("b", "x", "s", 1000)],
                                    "__domain string, __lang string, __source string, supply long")
