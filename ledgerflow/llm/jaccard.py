@@ -291,9 +291,11 @@ def families(rows: DataFrame, cuts: list[Scheme]) -> DataFrame:
     pairs = (found.where("not frequent").groupBy("a", "b", "number").agg(F.count(F.lit(1)).alias("times"))
              .where(F.col("times") >= per_cut([c.common for c in cuts])))
     place = F.row_number().over(Window.partitionBy("b", "number").orderBy("a"))  # one set's signatures
-    hub = F.first("b").over(Window.partitionBy("a").orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
-    stars = (found.where("frequent").withColumn("place", place).where(F.col("place") > per_cut([c.frequent for c in cuts]))
-             .withColumn("hub", hub).where("hub <> b"))
+    stars = stored(found.where("frequent").withColumn("place", place).where(F.col("place") > per_cut([c.frequent for c in cuts]))
+                   .select("a", "b"), "stars")
+    # the hub of a signature is joined back on a key of its own, so that one with very many sets can be split
+    hubs = stars.groupBy(F.bitwise_not("a").alias("k")).agg(F.min("b").alias("hub"))
+    stars = stars.join(hubs, F.bitwise_not("a") == F.col("k")).where("hub <> b")
     return components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
                       .unionByName(stars.select(F.col("hub").alias("u"), F.col("b").alias("v"))))
 
