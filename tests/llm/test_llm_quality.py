@@ -76,6 +76,7 @@ def test_limit_on_false_rejection_holds(spark):
     assert lost <= 0.02 * len(good)
     for r in cuts.collect():
         assert r["p_value"] <= 0.05 / 5 and r["lost"] / r["good"] < 0.02 / 5
+    m.unpersist()
 
 
 def test_awkward_rows_and_empty_tables(spark):
