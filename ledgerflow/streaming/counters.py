@@ -29,23 +29,37 @@ COUNTERS = "agent_id long, runs long, failed long, consecutive_errors long, last
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: Stands for a time or number that is null: before all others.
+NONE = -(1 << 63)
+
+
 def _partial(runs: DataFrame) -> DataFrame:
     """``PARTIAL`` rows of ``agent_id, id, at, failed``: one per task's batch and agent."""
 
     def combine(batches):
+        import numpy as np
         import pandas as pd
 
         for runs in batches:
-            rows = []
-            for agent, mine in runs.groupby("agent_id", dropna=False):
-                ok, bad = mine[~mine["failed"]], mine[mine["failed"]]
-                last = max(zip(ok["at"].tolist(), ok["id"].tolist()), default=(None, None))
-                left = [{"at": a, "id": i} for a, i in zip(bad["at"].tolist(), bad["id"].tolist()) if last[0] is None or (a, i) > last]
-                rows.append((agent, len(mine), len(bad), *last, bad["at"].max() if len(bad) else None, left))
-            frame = pd.DataFrame(rows, columns=["agent_id", "runs", "failed", "ok_at", "ok_id", "error_at", "errors"])
-            yield frame.astype({c: "Int64" for c in ("agent_id", "ok_at", "ok_id", "error_at")})
-
-    return runs.select("agent_id", "id", "at", "failed").mapInPandas(combine, PARTIAL)
+            code, agents = pd.factorize(runs["agent_id"].astype("Int64"), use_na_sentinel=False)
+            at, number, bad = (runs[c].to_numpy() for c in ("at", "id", "failed"))
+            order = np.lexsort((number, at, code))
+            ok, errors = order[~bad[order] & (at[order] != NONE)], order[bad[order]]
+            ok_at, ok_id, error_at = (np.full(len(agents), NONE) for _ in range(3))
+            # in order of time: of an agent's values the last one stays
+            ok_at[code[ok]], ok_id[code[ok]], error_at[code[errors]] = at[ok], number[ok], at[errors]
+            a, i, last_at, last_id = at[errors], number[errors], ok_at[code[errors]], ok_id[code[errors]]
+            errors = errors[(last_at == NONE) | (a > last_at) | ((a == last_at) & (i > last_id))]
+            entries = [{"at": x, "id": y} for x, y in zip(at[errors].tolist(), number[errors].tolist())]
+            ends = np.searchsorted(code[errors], np.arange(len(agents) + 1))
+            known = lambda v, on: pd.Series(v).astype("Int64").where(on != NONE)
+            yield pd.DataFrame({
+                "agent_id": agents, "runs": np.bincount(code, minlength=len(agents)), "failed": np.bincount(code[bad], minlength=len(agents)),
+                "ok_at": known(ok_at, ok_at), "ok_id": known(ok_id, ok_at), "error_at": known(error_at, error_at),
+                "errors": [entries[x:y] for x, y in zip(ends[:-1], ends[1:])]})
+
+    rows = runs.select("agent_id", *[F.coalesce(F.col(c), F.lit(NONE)).alias(c) for c in ("id", "at")], "failed")
+    return rows.mapInPandas(combine, PARTIAL)
 
 
 def _counters() -> StatefulProcessor:
@@ -54,29 +68,34 @@ def _counters() -> StatefulProcessor:
     class Counters(StatefulProcessor):
         def init(self, handle) -> None:
             self.totals = handle.getValueState("totals", "runs long, failed long, ok_at long, ok_id long, error_at long, open long")
-            self.errors = handle.getMapState("errors", "at long, id long", "n long")
+            self.errors = handle.getListState("errors", "at long, id long")
 
         def handleInputRows(self, key, rows, timerValues):
             from pyspark.sql import Row
 
             runs, failed, ok_at, ok_id, error_at, still_open = self.totals.get() or (0, 0, None, None, None, 0)
-            before = (ok_at, ok_id)
+            before, stored_to, new = (ok_at, ok_id), error_at, []
             for r in rows:
                 runs, failed = runs + r["runs"], failed + r["failed"]
                 if r["ok_at"] is not None and (ok_at is None or (r["ok_at"], r["ok_id"]) > (ok_at, ok_id)):
                     ok_at, ok_id = r["ok_at"], r["ok_id"]
                 if r["error_at"] is not None:
                     error_at = max(r["error_at"], r["error_at"] if error_at is None else error_at)
-                for e in r["errors"]:
-                    if ok_at is None or (e["at"], e["id"]) > (ok_at, ok_id):
-                        at = (e["at"], e["id"])
-                        seen = self.errors.getValue(at)
-                        self.errors.updateValue(at, ((seen[0] if seen else 0) + 1,))
-                        still_open += 1
-            if (ok_at, ok_id) != before:  # a success has passed some of the failures
-                for at in [k for k in self.errors.keys() if (k[0], k[1]) <= (ok_at, ok_id)]:
-                    still_open -= self.errors.getValue(at)[0]
-                    self.errors.removeKey(at)
+                new.extend((e["at"], e["id"]) for e in r["errors"])
+            # the state is asked once per batch and agent, and for its failures only if a success may have passed some
+            if still_open and (ok_at, ok_id) != before:
+                all_passed = stored_to is None or stored_to < ok_at
+                kept = [] if all_passed else [(e[0], e[1]) for e in self.errors.get() if (e[0], e[1]) > (ok_at, ok_id)]
+                still_open = len(kept)
+                if kept:
+                    self.errors.put(kept)
+                else:
+                    self.errors.clear()
+            if ok_at is not None:
+                new = [e for e in new if e > (ok_at, ok_id)]
+            if new:
+                self.errors.appendList(new)
+                still_open += len(new)
             self.totals.update((runs, failed, ok_at, ok_id, error_at, still_open))
             yield Row(agent_id=key[0], runs=runs, failed=failed, consecutive_errors=still_open, last_error_at=error_at, last_success_at=ok_at)
 

@@ -71,6 +71,62 @@ def test_counters_do_not_depend_on_files_or_restarts(spark, scratch, split):
     assert got == _counters(rows) and len(failed) == len(SPLITS[split](rows))
 
 
+class CountedState:
+    """A state handle that counts the calls; values as the state server would keep them."""
+
+    def __init__(self):
+        self.calls, self.values = 0, {}
+
+    def _state(self, name, schema):
+        outer = self
+
+        class State:
+            def __getattr__(self, method):
+                def call(*args):
+                    outer.calls += 1
+                    held = outer.values.setdefault(name, [] if name == "errors" else None)
+                    if method in ("get", "keys", "getValue"):
+                        return iter(held) if name == "errors" and method != "getValue" else held
+                    if method in ("update", "put"):
+                        outer.values[name] = args[0]
+                    elif method == "appendList":
+                        held.extend(args[0])
+                    elif method == "clear":
+                        outer.values[name] = []
+                    return None
+                return call
+        return State()
+
+    getValueState = getMapState = getListState = _state
+
+
+def test_counters_ask_the_state_once_per_batch_and_agent():
+    from ledgerflow.streaming.counters import _counters as processor
+    handle, counters = CountedState(), processor()
+    counters.init(handle)
+
+    def batch(ok, errors):
+        handle.calls = 0
+        rows = [{"runs": len(e), "failed": len(e), "ok_at": ok, "ok_id": ok, "error_at": max(e, default=None),
+                 "errors": [{"at": x, "id": x} for x in e]} for e in errors]
+        return next(iter(counters.handleInputRows((1,), iter(rows), None)))["consecutive_errors"], handle.calls
+
+    assert batch(None, [range(1, 301), range(301, 501)]) == (500, 3)
+    assert batch(400, [range(501, 601)]) == (200, 5)  # some of the stored failures are passed
+    assert batch(900, [range(901, 1001)]) == (100, 4)  # all of them
+
+
+def test_counters_take_nulls_and_very_many_agents_per_batch(spark):
+    """A null time or number comes before all others; nothing is done agent by agent."""
+    rows = [(i, i, START, "error") for i in range(5000)] + [(1, None, START, "ok"), (2, 9, None, "ok"), (3, 9, None, "error"), (None, 1, START, "ok")]
+    runs = spark.createDataFrame(rows, EVENTS).coalesce(1).select(
+        F.col("user_id").alias("agent_id"), F.col("event_id").alias("id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
+        (F.col("event_type") == "error").alias("failed"))
+    got = {r["agent_id"]: r for r in _partial(runs).collect()}
+    assert len(got) == 5001 and got[None]["runs"] == 1 and got[None]["errors"] == []
+    assert [len(got[i]["errors"]) for i in (0, 1, 2, 3)] == [1, 1, 1, 2] and got[2]["ok_at"] is None and got[3]["error_at"] is not None
+
+
 def test_a_hot_agents_runs_are_combined_first(spark):
     rows = [(1 if i % 3 else 2 + i, i, START + dt.timedelta(seconds=i), "error" if i % 2 else "ok") for i in range(6000)]
     runs = spark.createDataFrame(rows, EVENTS).repartition(4).select(
