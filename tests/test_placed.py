@@ -35,7 +35,7 @@ def _same(a, b):
 
 def test_placed_rows_are_the_ledger(spark, odd):
     from ledgerflow.sources.adapter import LEDGER_COLUMNS, PARTY_PLACE
-    placed = odd.ledger_by_party()
+    placed = odd.ledger_by_party
     _same(odd.f_ecriturec, placed.select(*LEDGER_COLUMNS))
     assert placed.where("ct_num is not null and __party <> ct_num or __party is null or __slice is null and ec_piece is not null").isEmpty()
     assert placed.where("ec_piece is not null").groupBy("ec_piece").agg(F.count_distinct("__slice").alias("n")).where("n > 1").isEmpty()
