@@ -55,6 +55,8 @@ def test_duplicates_are_equal_pieces_of_a_party(spark):
             ledger_row(3, "2001-03-03", "411000", "C1", "6.00", piece="A"), ledger_row(4, "2001-03-03", "411000", "C2", "5.00", piece="A"),
             ledger_row(5, "2001-03-03", "411000", None, "5.00", piece="A"), ledger_row(6, "2001-03-03", "411000", None, "5.00", piece="A")]
     got = {r["ec_no"]: (r["is_doublon_facture"], r["ct_intitule"]) for r in audit_anomalies(MiniTables(spark, rows, [party("C1", "one")]), "2001-07-15").collect()}
+    doubled = audit_anomalies(MiniTables(spark, rows[2:4], [party("C1", "one"), party("C1", "one")]), "2001-07-15").collect()
+    assert [r["is_doublon_facture"] for r in doubled] == [0, 0, 0]  # a party that is stored twice
     assert got == {1: (1, "one"), 2: (1, "one"), 3: (0, "one"), 4: (0, None), 5: (0, None), 6: (0, None)}
 
 
