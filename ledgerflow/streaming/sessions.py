@@ -45,12 +45,13 @@ def _merge(limit: int, lateness: bool) -> StatefulProcessor:
 
     class Merge(StatefulProcessor):
         def init(self, handle) -> None:
-            self.sessions = handle.getMapState("sessions", "first long", "last long, n long")
+            # a list, so that an agent's sessions are asked and stored once a batch, not one by one
+            self.sessions = handle.getListState("sessions", "first long, last long, n long")
 
         def handleInputRows(self, key, rows, timerValues):
             from pyspark.sql import Row
 
-            stored = {k[0]: tuple(v) for k, v in self.sessions.iterator()}
+            stored = {first: (last, n) for first, last, n in self.sessions.get()}
             parts = sorted([(first, last, n) for first, (last, n) in stored.items()] + [(r["first"], r["last"], r["n_beats"]) for r in rows])
             merged = {}
             start = None
@@ -61,14 +62,14 @@ def _merge(limit: int, lateness: bool) -> StatefulProcessor:
                 else:
                     merged[start] = (max(last, merged[start][0]), merged[start][1] + n)
             closed = timerValues.getCurrentWatermarkInMs() * 1000 - limit if lateness else None
+            kept = {first: (last, n) for first, (last, n) in merged.items() if closed is None or last >= closed}
+            if kept and kept != stored:
+                self.sessions.put([(first, last, n) for first, (last, n) in kept.items()])
+            elif not kept and stored:
+                self.sessions.clear()
             for first in stored.keys() - merged.keys():
-                self.sessions.removeKey((first,))
                 yield Row(agent_id=key[0], first=first, last=first, n_beats=0)
             for first, (last, n) in merged.items():
-                if closed is not None and last < closed:
-                    self.sessions.removeKey((first,))
-                elif stored.get(first) != (last, n):
-                    self.sessions.updateValue((first,), (last, n))
                 if stored.get(first) != (last, n):
                     yield Row(agent_id=key[0], first=first, last=last, n_beats=n)
 
